@@ -43,6 +43,7 @@ def build_session(
         "spark.driver.maxResultSize": "2g",
         "spark.memory.fraction": "0.8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         **(extra or {}),
     }
