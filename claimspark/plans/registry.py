@@ -428,3 +428,344 @@ def q_features_filled(spark, sf):
     ctes=_FEATURES_CTE))
 def q_model_inputs(spark, sf):
     return feat.model_inputs(pipelines.feature_table(*adapter.load(spark, sf)))
+
+
+# --------------------------------------------------------------------------
+# Quality, ingestion, sinks (A4-A8, B1-B9)
+# --------------------------------------------------------------------------
+from claimspark.operators import quality, stats  # noqa: E402
+from claimspark.operators import evaluate as ev  # noqa: E402
+from claimspark.schemas import CLAIMS_SCHEMA, THRESHOLDS  # noqa: E402
+from claimspark.sources import files  # noqa: E402
+from claimspark.session import shared_path  # noqa: E402
+
+_CLAIM_COLS = [f.name for f in CLAIMS_SCHEMA.fields]
+
+
+def _profile_sql(cols: list[str]) -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / CAST(COUNT(*) AS DOUBLE) AS null_pct FROM claims"
+        for c in cols
+    ]
+    return oracle("\nUNION ALL ".join(parts))
+
+
+@register("dq_profile", _profile_sql(_CLAIM_COLS))
+def q_dq_profile(spark, sf):
+    """Row count, null count and null percent of every claims column (one scan)."""
+    return quality.profile(_claims(spark, sf))
+
+
+_NUMERIC_CLAIM_COLS = ["claim_amount", "paid_amount", "denial_flag", "readmission_30day",
+                       "length_of_stay", "age", "comorbidity_count"]
+
+
+def _outlier_sql() -> str:
+    parts = []
+    for c in _NUMERIC_CLAIM_COLS:
+        m = f"(SELECT CAST(SUM({c}) AS DOUBLE) / COUNT({c}) FROM claims)"
+        s = f"(SELECT STDDEV_SAMP(CAST({c} AS DOUBLE)) FROM claims)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, ROUND({m}, 6) AS mean, ROUND({s}, 6) AS stddev, "
+            f"ROUND({m} + 3.0 * {s}, 6) AS upper_threshold, "
+            f"COUNT(*) FILTER (WHERE CAST({c} AS DOUBLE) > {m} + 3.0 * {s}) AS n_upper, "
+            f"COUNT(*) FILTER (WHERE CAST({c} AS DOUBLE) < {m} - 3.0 * {s}) AS n_lower FROM claims")
+    return oracle("\nUNION ALL ".join(parts))
+
+
+@register("dq_outliers", _outlier_sql())
+def q_dq_outliers(spark, sf):
+    """Counts beyond mean +- 3 sample stddev for the numeric claim columns."""
+    return quality.outliers(_claims(spark, sf), 3.0, _NUMERIC_CLAIM_COLS)
+
+
+@register("dq_schema")
+def q_dq_schema(spark, sf):
+    """Declared claims schema versus the derived frame's actual schema."""
+    return quality.schema_check(_claims(spark, sf), CLAIMS_SCHEMA)
+
+
+def _rules_sql() -> str:
+    checks = [
+        ("claim_id_required", "claim_id IS NOT NULL"),
+        ("patient_id_required", "patient_id IS NOT NULL"),
+        ("claim_amount_positive", "claim_amount > 0"),
+        ("paid_amount_non_negative", "paid_amount >= 0"),
+        ("length_of_stay_0_365", "length_of_stay BETWEEN 0 AND 365"),
+        ("age_18_120", "age BETWEEN 18 AND 120"),
+        ("gender_m_or_f", "gender IN ('M', 'F')"),
+        ("comorbidity_count_0_15", "comorbidity_count BETWEEN 0 AND 15"),
+        ("state_two_letters", "length(state) = 2"),
+        ("diagnosis_code_required", "diagnosis_code IS NOT NULL"),
+        ("procedure_code_required", "procedure_code IS NOT NULL"),
+        ("facility_type_required", "facility_type IS NOT NULL"),
+        ("payer_type_required", "payer_type IS NOT NULL"),
+        ("insurance_type_required", "insurance_type IS NOT NULL"),
+    ]
+    return "concat_ws(',', " + ", ".join(
+        f"CASE WHEN NOT COALESCE({cond}, FALSE) THEN '{name}' END" for name, cond in checks) + ")"
+
+
+@register("validate_claims", oracle(f"""
+SELECT claim_id, {_rules_sql()} AS failed_rules, {_rules_sql()} = '' AS is_valid FROM claims"""))
+def q_validate(spark, sf):
+    """Accepted-range rules per claim: failed rule names and a validity flag."""
+    return quality.validate(_claims(spark, sf)).select("claim_id", "failed_rules", "is_valid")
+
+
+_AS_DOUBLE_SQL = oracle("SELECT " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if c in ("claim_amount", "paid_amount") else c for c in _CLAIM_COLS
+) + " FROM claims")
+
+
+@register("ingest_csv", _AS_DOUBLE_SQL)
+def q_ingest_csv(spark, sf):
+    """Claims written as CSV to the shared folder and read back with the
+    declared schema; malformed rows would go to quarantine."""
+    path = shared_path(spark, "claims-csv")
+    files.write_csv(_claims(spark, sf), path)
+    good, _bad = files.load_csv_quarantined(spark, path, CLAIMS_SCHEMA)
+    return good
+
+
+@register("ingest_all", _AS_DOUBLE_SQL)
+def q_ingest_all(spark, sf):
+    """CSV -> quarantine -> profile -> Parquet -> re-read Parquet (claims part)."""
+    from claimspark.sources import adapter as ad
+
+    c_csv, p_csv = shared_path(spark, "claims-csv"), shared_path(spark, "patients-csv")
+    files.write_csv(ad.claims(spark, sf), c_csv)
+    files.write_csv(ad.patients(spark, sf), p_csv)
+    claims_pq, _patients_pq, _report = files.ingest(spark, c_csv, p_csv)
+    return claims_pq
+
+
+@register("parquet_roundtrip", oracle("SELECT * FROM claims"))
+def q_parquet_roundtrip(spark, sf):
+    """Claims written as Parquet partitioned by payer_type and read back."""
+    path = shared_path(spark, "claims-parquet")
+    files.write_parquet(_claims(spark, sf), path, ["payer_type"])
+    return spark.read.parquet(path).select(*_CLAIM_COLS)
+
+
+# --------------------------------------------------------------------------
+# Statistics (E15-E20)
+# --------------------------------------------------------------------------
+def _corr_sql() -> str:
+    from itertools import combinations
+
+    cols = stats.CORRELATION_COLUMNS
+    parts = [f"SELECT '{b}' AS x, '{a}' AS y, ROUND(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM claims"
+             for a, b in combinations(cols, 2)]
+    return oracle("\nUNION ALL ".join(parts))
+
+
+@register("correlation_matrix", _corr_sql())
+def q_corr(spark, sf):
+    """Pearson correlations of 7 claim columns over all rows (lower triangle)."""
+    return stats.correlation_matrix(_claims(spark, sf))
+
+
+@register("cost_histogram", oracle("""
+SELECT bin, b.lo + CAST(bin AS DOUBLE) * ((b.hi - b.lo) / 80.0) AS bin_lo,
+       b.lo + CAST(bin + 1 AS DOUBLE) * ((b.hi - b.lo) / 80.0) AS bin_hi, n
+FROM (SELECT CAST(LEAST(FLOOR((CAST(claim_amount AS DOUBLE) - b.lo) / (b.hi - b.lo) * 80.0), 79) AS INTEGER) AS bin,
+             COUNT(*) AS n
+      FROM claims, bounds b GROUP BY 1) h, bounds b""", ctes="""
+bounds AS (SELECT MIN(CAST(claim_amount AS DOUBLE)) AS lo, MAX(CAST(claim_amount AS DOUBLE)) AS hi FROM claims)"""))
+def q_hist(spark, sf):
+    """80 equal-width bins of claim_amount over [min, max], all rows."""
+    return stats.histogram(_claims(spark, sf), "claim_amount", 80)
+
+
+def _pct_sql(col: str, probs: list[tuple[float, str]], by: str | None) -> str:
+    part = f"PARTITION BY {by}" if by else ""
+    grp = f"{by}, " if by else ""
+    sel = []
+    for p, name in probs:
+        h = f"(CAST(n - 1 AS DOUBLE) * {p})"
+        lo = f"MAX(CASE WHEN i = CAST(FLOOR({h}) AS BIGINT) THEN v END)"
+        hi = f"MAX(CASE WHEN i = CAST(CEIL({h}) AS BIGINT) THEN v END)"
+        frac = f"MAX({h} - FLOOR({h}))"
+        sel.append(f"{lo} + {frac} * ({hi} - {lo}) AS {name}")
+    return f"""SELECT {grp}{', '.join(sel)}
+FROM (SELECT {grp}CAST({col} AS DOUBLE) AS v,
+             ROW_NUMBER() OVER ({part} ORDER BY CAST({col} AS DOUBLE)) - 1 AS i,
+             COUNT(*) OVER ({part}) AS n
+      FROM claims WHERE {col} IS NOT NULL) s
+{'GROUP BY ' + by if by else ''}"""
+
+
+@register("cost_quantiles", oracle(_pct_sql("claim_amount", [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")], None)))
+def q_quantiles(spark, sf):
+    """Exact quartiles and median of claim_amount (distributed selection)."""
+    return stats.exact_percentiles(_claims(spark, sf), "claim_amount", [0.25, 0.5, 0.75])
+
+
+@register("cost_boxplot", oracle("""
+SELECT q.facility_type, q.q1, q.median, q.q3, q.q3 - q.q1 AS iqr,
+       MIN(CASE WHEN CAST(c.claim_amount AS DOUBLE) >= q.q1 - 1.5 * (q.q3 - q.q1) THEN CAST(c.claim_amount AS DOUBLE) END) AS whisker_low,
+       MAX(CASE WHEN CAST(c.claim_amount AS DOUBLE) <= q.q3 + 1.5 * (q.q3 - q.q1) THEN CAST(c.claim_amount AS DOUBLE) END) AS whisker_high
+FROM claims c JOIN q ON c.facility_type = q.facility_type
+GROUP BY q.facility_type, q.q1, q.median, q.q3""", ctes="q AS (" + _pct_sql(
+    "claim_amount", [(0.25, "q1"), (0.5, "median"), (0.75, "q3")], "facility_type") + ")"))
+def q_boxplot(spark, sf):
+    """Per-facility quartiles and 1.5 IQR whiskers of claim_amount."""
+    return stats.box_stats(_claims(spark, sf), "claim_amount", ["facility_type"])
+
+
+@register("age_los_trend", oracle("""
+SELECT ROUND(REGR_SLOPE(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)), 6) AS slope,
+       ROUND(REGR_INTERCEPT(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)), 6) AS intercept,
+       REGR_COUNT(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)) AS n
+FROM claims"""))
+def q_trend(spark, sf):
+    """Least-squares trend of length_of_stay on age over all rows."""
+    return stats.linear_trend(_claims(spark, sf))
+
+
+@register("age_los_grid", oracle(f"""
+SELECT age, length_of_stay, COUNT(*) AS n, {_mean('comorbidity_count')} AS avg_comorbidity,
+       {_mean('readmission_30day')} AS readmit_rate
+FROM claims GROUP BY age, length_of_stay"""))
+def q_grid(spark, sf):
+    return stats.age_los_grid(_claims(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Evaluation on a deterministic score (L1-L11, N3)
+# --------------------------------------------------------------------------
+def _scored(spark, sf) -> DataFrame:
+    """label = readmission; score = comorbidity_index / 10 (model-free, exact)."""
+    df = feat.add_comorbidity_index(feat.add_diagnosis_risk_score(_claims(spark, sf)))
+    return df.select("claim_id", F.col("readmission_30day").alias("label"),
+                     (F.col("comorbidity_index") / F.lit(10.0)).alias("score"))
+
+
+_SCORED_CTES = f"""
+scored AS (SELECT claim_id, readmission_30day AS label,
+                  (comorbidity_count * CAST(0.5 AS DOUBLE) + {_risk_sql()} * CAST(0.5 AS DOUBLE)) / CAST(10.0 AS DOUBLE) AS score
+           FROM claims),
+per AS (SELECT score AS threshold, COUNT(*) FILTER (WHERE label = 1) AS p,
+               COUNT(*) FILTER (WHERE label = 0) AS n FROM scored GROUP BY score),
+tot AS (SELECT CAST(SUM(p) AS BIGINT) AS pos, CAST(SUM(n) AS BIGINT) AS neg FROM per),
+cum AS (SELECT threshold, p, n,
+               CAST(SUM(p) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+               CAST(SUM(n) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp
+        FROM per),
+pts AS (SELECT c.*, c.tp - c.p AS prev_tp, c.fp - c.n AS prev_fp,
+               CAST(c.tp AS DOUBLE) / CAST(GREATEST(t.pos, 1) AS DOUBLE) AS tpr,
+               CAST(c.fp AS DOUBLE) / CAST(GREATEST(t.neg, 1) AS DOUBLE) AS fpr,
+               CAST(c.tp AS DOUBLE) / CAST(c.tp + c.fp AS DOUBLE) AS precision,
+               CAST(c.tp AS DOUBLE) / CAST(GREATEST(t.pos, 1) AS DOUBLE) AS recall,
+               t.pos, t.neg
+        FROM cum c, tot t)"""
+
+
+@register("roc_curve", oracle("SELECT threshold, tp, fp, tpr, fpr FROM pts", ctes=_SCORED_CTES))
+def q_roc(spark, sf):
+    """ROC points per distinct score (cumulative counts by distributed scan)."""
+    return ev.roc_curve(_scored(spark, sf))
+
+
+@register("pr_curve", oracle("SELECT threshold, tp, fp, precision, recall FROM pts", ctes=_SCORED_CTES))
+def q_pr(spark, sf):
+    return ev.pr_curve(_scored(spark, sf))
+
+
+@register("auc_roc", oracle("""
+SELECT CAST(SUM((fp - prev_fp) * (tp + prev_tp)) AS DOUBLE)
+       / (2.0 * CAST(MAX(pos) AS DOUBLE) * CAST(MAX(neg) AS DOUBLE)) AS auc_roc FROM pts""", ctes=_SCORED_CTES))
+def q_auc(spark, sf):
+    """Exact trapezoid AUC-ROC of the deterministic score."""
+    return ev.auc_roc(_scored(spark, sf))
+
+
+@register("average_precision", oracle("""
+SELECT ROUND(SUM((CAST(tp - prev_tp AS DOUBLE) / CAST(pos AS DOUBLE)) * precision), 10) AS average_precision
+FROM pts""", ctes=_SCORED_CTES))
+def q_ap(spark, sf):
+    return ev.average_precision(_scored(spark, sf))
+
+
+@register("best_threshold", oracle("""
+SELECT threshold, precision, recall, f1 FROM (
+  SELECT threshold, precision, recall,
+         2.0 * precision * recall / (precision + recall + 1e-10) AS f1 FROM pts)
+ORDER BY f1 DESC, threshold ASC LIMIT 1""", ctes=_SCORED_CTES))
+def q_best_threshold(spark, sf):
+    """F1-optimal operating threshold on the PR curve."""
+    return ev.best_threshold(_scored(spark, sf))
+
+
+def _threshold_sql() -> str:
+    parts = []
+    for t in THRESHOLDS:
+        f = f"COUNT(*) FILTER (WHERE score >= {t})"
+        tp = f"COUNT(*) FILTER (WHERE score >= {t} AND label = 1)"
+        parts.append(
+            f"SELECT CAST({t} AS DOUBLE) AS threshold, "
+            f"ROUND(CASE WHEN {f} = 0 THEN 0.0 ELSE CAST({tp} AS DOUBLE) / CAST({f} AS DOUBLE) END, 3) AS precision, "
+            f"ROUND(CAST({tp} AS DOUBLE) / CAST(GREATEST(COUNT(*) FILTER (WHERE label = 1), 1) AS DOUBLE), 3) AS recall, "
+            f"ROUND(CAST({f} AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 3) AS flag_rate, "
+            f"{f} AS patients_flagged FROM scored")
+    return oracle("\nUNION ALL ".join(parts), ctes=_SCORED_CTES)
+
+
+@register("threshold_table", _threshold_sql())
+def q_threshold_table(spark, sf):
+    """Precision / recall / flag rate at the fixed operating thresholds."""
+    return ev.threshold_table(_scored(spark, sf))
+
+
+_PRED = "CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS INTEGER)"
+
+
+@register("confusion_matrix", oracle(f"""
+SELECT CAST(label AS INTEGER) AS label, {_PRED} AS prediction, COUNT(*) AS n FROM scored GROUP BY 1, 2""",
+                                     ctes=_SCORED_CTES))
+def q_confusion(spark, sf):
+    s = _scored(spark, sf).withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    return ev.confusion_matrix(s)
+
+
+def _cls_sql() -> str:
+    def safe(a, b):
+        return f"(CASE WHEN {b} > 0 THEN {a} / {b} ELSE 0.0 END)"
+
+    tp, fp, tn, fn = "tp", "fp", "tn", "fn"
+    n = f"({tp} + {fp} + {tn} + {fn})"
+    p1, r1 = safe(tp, f"({tp} + {fp})"), safe(tp, f"({tp} + {fn})")
+    p0, r0 = safe(tn, f"({tn} + {fn})"), safe(tn, f"({tn} + {fp})")
+    f11, f10 = safe(f"2.0 * {p1} * {r1}", f"({p1} + {r1})"), safe(f"2.0 * {p0} * {r0}", f"({p0} + {r0})")
+    w1, w0 = f"(({tp} + {fn}) / {n})", f"(({tn} + {fp}) / {n})"
+    return oracle(f"""
+SELECT ({tp} + {tn}) / {n} AS accuracy, {w0} * {p0} + {w1} * {p1} AS weighted_precision,
+       {w0} * {r0} + {w1} * {r1} AS weighted_recall, {w0} * {f10} + {w1} * {f11} AS weighted_f1
+FROM (SELECT CAST(COUNT(*) FILTER (WHERE label = 1 AND {_PRED} = 1) AS DOUBLE) AS tp,
+             CAST(COUNT(*) FILTER (WHERE label = 0 AND {_PRED} = 1) AS DOUBLE) AS fp,
+             CAST(COUNT(*) FILTER (WHERE label = 0 AND {_PRED} = 0) AS DOUBLE) AS tn,
+             CAST(COUNT(*) FILTER (WHERE label = 1 AND {_PRED} = 0) AS DOUBLE) AS fn FROM scored) c""",
+                  ctes=_SCORED_CTES)
+
+
+@register("classification_metrics", _cls_sql())
+def q_cls(spark, sf):
+    """Accuracy and support-weighted precision/recall/F1 at threshold 0.5."""
+    s = _scored(spark, sf).withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    return ev.classification_metrics(s)
+
+
+@register("risk_tiers", oracle("""
+SELECT claim_id, ROUND(score, 4) AS probability, ROUND(score * 100.0, 1) AS risk_score,
+       CASE WHEN score >= 0.5 THEN 'High' WHEN score >= 0.25 THEN 'Medium' ELSE 'Low' END AS risk_tier
+FROM scored""", ctes=_SCORED_CTES))
+def q_risk_tiers(spark, sf):
+    """Risk tier of each claim from the deterministic score."""
+    from claimspark.functions import risk_tier
+
+    s = _scored(spark, sf)
+    return s.select("claim_id", F.round("score", 4).alias("probability"),
+                    F.round(F.col("score") * F.lit(100.0), 1).alias("risk_score"),
+                    risk_tier("score").alias("risk_tier"))
