@@ -54,16 +54,23 @@ def add_row_features(df: DataFrame) -> DataFrame:
     })
 
 
-def engineer_features(enriched: DataFrame) -> DataFrame:
-    """Feature table: row features, provider/payer rates and patient cost features.
+def engineer_features(enriched: DataFrame, land: bool = True) -> DataFrame:
+    """Feature table: row features, provider/payer rates and patient cost
+    features (each group feature is an aggregate joined back, never a
+    window over a low-cardinality or hot key).
 
-    Column set and formulas follow the feature list in ``schemas``; each group
-    feature is an aggregate joined back (no window over a low-cardinality key).
+    ``land`` writes the input once to the shared folder first, so the
+    aggregate branches and their size checks read files, not the lineage.
     """
+    from claimspark.session import materialize
+
     df = add_row_features(enriched)
+    if land:
+        df = materialize(df, "enriched")
     df = add_provider_denial_rate(df)
     df = add_payer_approval_rate(df)
-    df = add_cost_features(df)
+    if "patient_avg_claim" not in df.columns:
+        df = add_cost_features(df)
     return df
 
 

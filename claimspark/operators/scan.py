@@ -5,10 +5,12 @@ so a key holding a third of the data would be processed by one task. This
 operator range-partitions on ``(k, o)`` instead, which splits a hot key
 across many tasks, and then repairs the values at partition boundaries:
 
-1. ``repartitionByRange`` + ``sortWithinPartitions`` on the full sort key.
-2. ``mapInPandas`` computes the scan locally inside every partition.
-3. A second ``mapInPandas`` over the *same* exchange emits one summary row
-   per partition (its first/last key and the last group's totals).
+1. ``repartitionByRange`` on the full sort key, tag rows with the range
+   partition id, and hash-distribute on that id (a bounded group per id).
+2. Plain window functions partitioned by ``(id, k)`` compute the scan
+   locally; one sort serves every window.
+3. The scanned frame is checkpointed once; a JVM aggregate over it keeps
+   one summary row per range partition (first key, last group's totals).
 4. Offsets are derived from the summaries (one row per partition, so their
    size is bounded by the partition count) and broadcast back.
 
@@ -19,7 +21,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,150 +49,15 @@ def _sort_cols(spec: ScanSpec) -> list[Column]:
     return cols
 
 
-def _changed(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
-    """Row-wise null-safe 'differs' over several columns."""
-    out = pd.Series(False, index=cur.index)
-    for c in cur.columns:
-        a, b = cur[c], prev[c]
-        same = (a == b) | (a.isna() & b.isna())
-        out |= ~same.fillna(False).astype(bool)
-    return out
-
-
-def _shifted(pdf: pd.DataFrame, cols: list[str], carry: dict | None) -> pd.DataFrame:
-    prev = pdf[cols].shift(1)
-    if len(pdf):
-        for c in cols:
-            if prev[c].dtype != object:
-                prev[c] = prev[c].astype(object)
-            prev.at[pdf.index[0], c] = None if carry is None else carry[c]
-    return prev
-
-
-def _local_scan(spec: ScanSpec):
-    keys = list(spec.partition_by)
-    orders = [c for c, _ in spec.order_by]
-    dense_cols = spec.dense_cols()
-    sums = spec.running_sums
-    lags = spec.lags
-
-    def run(batches):
-        carry = None   # state of the last row seen in this partition
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            prev_keys = _shifted(pdf, keys, carry["keys"] if carry else None) if keys else None
-            if keys:
-                new_group = _changed(pdf[keys], prev_keys)
-                if carry is None:
-                    new_group.iloc[0] = True
-            else:
-                new_group = pd.Series(False, index=pdf.index)
-                new_group.iloc[0] = carry is None
-            gid = new_group.cumsum()
-            continues = carry is not None and not bool(new_group.iloc[0])
-            in_carried = (gid == 0) if continues else pd.Series(False, index=pdf.index)
-            grouped_rn = pdf.groupby(gid).cumcount() + 1
-            if continues:
-                grouped_rn = grouped_rn + in_carried.astype("int64") * carry["rn"]
-            out = pdf
-            out["_rn"] = grouped_rn.astype("int64")
-            if spec.dense_rank:
-                prev_ord = _shifted(pdf, dense_cols, carry["orders"] if carry else None)
-                new_val = (new_group | _changed(pdf[dense_cols], prev_ord)).astype("int64")
-                dense = new_val.groupby(gid).cumsum()
-                if continues:
-                    dense = dense + in_carried.astype("int64") * carry["dense"]
-                out[spec.dense_rank] = dense.astype("int64")
-            for out_col, src in sums.items():
-                vals = pdf[src]
-                nonnull = vals.notna().astype("int64")
-                run_sum = vals.fillna(0).groupby(gid).cumsum()
-                run_n = nonnull.groupby(gid).cumsum()
-                if continues:
-                    run_sum = run_sum + in_carried.astype("int64") * carry["sums"][out_col]
-                    run_n = run_n + in_carried.astype("int64") * carry["sum_n"][out_col]
-                out[out_col] = run_sum.where(run_n > 0, None)
-                out["_n_" + out_col] = run_n
-            for out_col, src in lags.items():
-                lagged = pdf[src].groupby(gid).shift(1).astype(object)
-                first = pdf.index[0]
-                lagged.at[first] = (carry["lag"][src] if continues else None)
-                out[out_col] = lagged
-            last = out.iloc[-1]
-            carry = {
-                "keys": {c: last[c] for c in keys},
-                "orders": {c: last[c] for c in dense_cols},
-                "rn": int(last["_rn"]),
-                "dense": int(last[spec.dense_rank]) if spec.dense_rank else 0,
-                "sums": {c: (0 if pd.isna(last[c]) else last[c]) for c in sums},
-                "sum_n": {c: int(last["_n_" + c]) for c in sums},
-                "lag": {src: last[src] for src in lags.values()},
-            }
-            out = out.drop(columns=["_n_" + c for c in sums])
-            yield out
-
-    return run
-
-
-def _summarize(spec: ScanSpec):
-    """One row per partition: first key, and totals of the last group."""
-    keys = list(spec.partition_by)
-    orders = [c for c, _ in spec.order_by]
-    sums = spec.running_sums
-    lag_src = list(dict.fromkeys(spec.lags.values()))
-    scan = _local_scan(ScanSpec(keys, spec.order_by, None, "_dense", dict(sums), {},
-                                spec.dense_cols()))
-
-    def run(batches):
-        first_row = None
-        last = None
-        pid = None
-        for out in scan(batches):
-            if first_row is None:
-                first_row = out.iloc[0]
-            last = out.iloc[-1]
-            pid = int(last[PID])
-        if last is None:
-            return
-        row = {PID: pid, "_last_rn": int(last["_rn"]), "_last_dense": int(last["_dense"])}
-        for c in keys:
-            row["_fk_" + c] = first_row[c]
-            row["_lk_" + c] = last[c]
-        for c in orders:
-            row["_fo_" + c] = first_row[c]
-            row["_lo_" + c] = last[c]
-        for c in sums:
-            row["_ls_" + c] = None if pd.isna(last[c]) else last[c]
-        for c in lag_src:
-            row["_lv_" + c] = last[c]
-        yield pd.DataFrame([row])
-
-    return run
-
-
-def _summary_schema(spec: ScanSpec, schema: T.StructType, sum_types: dict) -> T.StructType:
-    types = {f.name: f.dataType for f in schema.fields}
-    fields = [
-        T.StructField(PID, T.IntegerType()),
-        T.StructField("_last_rn", T.LongType()),
-        T.StructField("_last_dense", T.LongType()),
-    ]
-    for c in spec.partition_by:
-        fields += [T.StructField("_fk_" + c, types[c]), T.StructField("_lk_" + c, types[c])]
-    for c, _ in spec.order_by:
-        fields += [T.StructField("_fo_" + c, types[c]), T.StructField("_lo_" + c, types[c])]
-    for c in spec.running_sums:
-        fields.append(T.StructField("_ls_" + c, sum_types[c]))
-    for c in dict.fromkeys(spec.lags.values()):
-        fields.append(T.StructField("_lv_" + c, types[c]))
-    return T.StructType(fields)
+def _order_cols(spec: ScanSpec) -> list[Column]:
+    return _sort_cols(spec)[len(spec.partition_by):]
 
 
 def _sum_type(dt: T.DataType) -> T.DataType:
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return T.LongType()
+    if isinstance(dt, T.DecimalType):
+        return T.DecimalType(38, dt.scale)
     return T.DoubleType()
 
 
@@ -224,28 +90,54 @@ def ordered_scan(
                     dict(running_sums or {}), dict(lags or {}), dense_on)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = df.schema
-    types = {f.name: f.dataType for f in schema.fields}
+    types = {f.name: f.dataType for f in df.schema.fields}
     sum_types = {o: _sum_type(types[s]) for o, s in spec.running_sums.items()}
+    keys = spec.partition_by
+    orders = [c for c, _ in spec.order_by]
+    dcols = spec.dense_cols()
 
-    sorted_df = (
+    tagged = (
         df.repartitionByRange(n, *_sort_cols(spec))
-        .sortWithinPartitions(*_sort_cols(spec))
         .withColumn(PID, F.spark_partition_id())
+        .repartition(n, PID)
     )
-
-    local_fields = list(sorted_df.schema.fields) + [T.StructField("_rn", T.LongType())]
-    if spec.dense_rank:
-        local_fields.append(T.StructField(spec.dense_rank, T.LongType()))
+    w_grp = Window.partitionBy(PID, *keys).orderBy(*_order_cols(spec))
+    w_run = w_grp.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_part = Window.partitionBy(PID).orderBy(*_sort_cols(spec))
+    local_cols = {
+        "_rn": F.row_number().over(w_grp).cast("bigint"),
+        "_prn": F.row_number().over(w_part),
+        "_pcnt": F.count(F.lit(1)).over(Window.partitionBy(PID)),
+        "_ldense": F.dense_rank().over(
+            Window.partitionBy(PID, *keys).orderBy(*_order_cols(spec)[:len(dcols)])).cast("bigint"),
+    }
+    for o, src in spec.running_sums.items():
+        local_cols[o] = F.sum(F.col(src)).over(w_run).cast(sum_types[o])
+    for o, src in spec.lags.items():
+        local_cols[o] = F.lag(F.col(src)).over(w_grp)
+    # Range bounds come from sampling and differ between executions, so the
+    # locally scanned frame is checkpointed once (reliable storage under the
+    # cluster's checkpoint dir): the summary and the final join then see the
+    # same partition ids, and a lost executor re-reads files, not the sample.
+    from claimspark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    local = tagged.withColumns(local_cols).checkpoint(eager=True)
+
+    first = F.col("_prn") == 1
+    last = F.col("_prn") == F.col("_pcnt")
+    lag_src = list(dict.fromkeys(spec.lags.values()))
+    aggs = [F.max(F.when(last, F.col("_rn"))).alias("_last_rn"),
+            F.max(F.when(last, F.col("_ldense"))).alias("_last_dense")]
+    for c in keys:
+        aggs += [F.max(F.when(first, F.col(c))).alias("_fk_" + c), F.max(F.when(last, F.col(c))).alias("_lk_" + c)]
+    for c in orders:
+        aggs += [F.max(F.when(first, F.col(c))).alias("_fo_" + c), F.max(F.when(last, F.col(c))).alias("_lo_" + c)]
     for o in spec.running_sums:
-        local_fields.append(T.StructField(o, sum_types[o]))
-    for o, s in spec.lags.items():
-        local_fields.append(T.StructField(o, types[s]))
-    local = sorted_df.mapInPandas(_local_scan(spec), T.StructType(local_fields))
-
-    summary = sorted_df.mapInPandas(
-        _summarize(spec), _summary_schema(spec, sorted_df.schema, sum_types)
-    )
+        aggs.append(F.max(F.when(last, F.col(o))).alias("_ls_" + o))
+    for c in lag_src:
+        aggs.append(F.max(F.when(last, F.col(c))).alias("_lv_" + c))
+    summary = local.where(first | last).groupBy(PID).agg(*aggs)
 
     # Offsets per partition: one row per partition, a bounded table.
     w_all = Window.orderBy(PID)
@@ -308,7 +200,7 @@ def ordered_scan(
     if spec.row_number:
         out[spec.row_number] = F.col("_rn") + F.when(in_first, F.col("_off_rn")).otherwise(0)
     if spec.dense_rank:
-        out[spec.dense_rank] = F.col(spec.dense_rank) + F.when(in_first, F.col("_off_dense")).otherwise(0)
+        out[spec.dense_rank] = F.col("_ldense") + F.when(in_first, F.col("_off_dense")).otherwise(0)
     for o in spec.running_sums:
         off = F.when(in_first, F.col("_off_" + o))
         out[o] = F.when(
@@ -320,3 +212,4 @@ def ordered_scan(
         ).otherwise(F.col(o))
     j = j.withColumns(out)
     return j.select(*df.columns, *out.keys())
+

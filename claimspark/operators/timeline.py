@@ -8,14 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspark.functions import days
+from claimspark.functions import days, ratio_or
 from claimspark.operators.joins import join_on_keys
 from claimspark.operators.scan import ordered_scan
 
 DAY = "_admit_day"
 
 
-def add_rolling_claim_cost(df: DataFrame, window_days: int = 90) -> DataFrame:
+def add_rolling_claim_cost(df: DataFrame, window_days: int = 90,
+                           with_patient_totals: bool = False) -> DataFrame:
     """``rolling_cost_90d`` / ``claim_count_90d``: sum of claim_amount and
     count of claim_id over the patient's claims admitted in
     ``[admit_date - window_days, admit_date]`` (same-day claims included).
@@ -24,19 +25,35 @@ def add_rolling_claim_cost(df: DataFrame, window_days: int = 90) -> DataFrame:
     one row per (patient, day) with a map-side partial aggregate; the range
     window then runs over at most one row per calendar day per patient, and
     the totals are joined back on (patient_id, day).
+
+    ``with_patient_totals`` also attaches ``patient_avg_claim``,
+    ``patient_total_claims`` and ``cost_ratio_to_patient_avg`` from the same
+    daily table, so both feature groups cost a single join.
     """
     with_day = df.withColumn(DAY, days("admit_date"))
     daily = with_day.groupBy("patient_id", DAY).agg(
         F.sum("claim_amount").alias("_day_cost"),
         F.count("claim_id").alias("_day_n"),
+        F.count("claim_amount").alias("_day_amount_n"),
     )
     w = Window.partitionBy("patient_id").orderBy(DAY).rangeBetween(-window_days, 0)
-    rolled = daily.select(
+    cols = [
         "patient_id", DAY,
         F.sum("_day_cost").over(w).alias("rolling_cost_90d"),
         F.sum("_day_n").over(w).alias("claim_count_90d"),
-    )
-    return join_on_keys(with_day, rolled, ["patient_id", DAY]).drop(DAY)
+    ]
+    if with_patient_totals:
+        whole = Window.partitionBy("patient_id")
+        cols += [
+            F.try_divide(F.sum("_day_cost").over(whole).cast("double"),
+                         F.sum("_day_amount_n").over(whole).cast("double")).alias("patient_avg_claim"),
+            F.sum("_day_n").over(whole).alias("patient_total_claims"),
+        ]
+    out = join_on_keys(with_day, daily.select(*cols), ["patient_id", DAY]).drop(DAY)
+    if with_patient_totals:
+        out = out.withColumn("cost_ratio_to_patient_avg",
+                             ratio_or("claim_amount", "patient_avg_claim", 1.0))
+    return out
 
 
 def add_lag_features(df: DataFrame) -> DataFrame:

@@ -11,10 +11,10 @@ from claimspark.operators.timeline import add_lag_features, add_rolling_claim_co
 from claimspark.plans.sql import compute_aggregations_sql
 
 
-def enriched_claims(claims: DataFrame, patients: DataFrame) -> DataFrame:
+def enriched_claims(claims: DataFrame, patients: DataFrame, with_patient_totals: bool = False) -> DataFrame:
     """Join -> rolling 90-day cost -> lag features (no action is run)."""
     df = join_claims_patients(claims, patients)
-    df = add_rolling_claim_cost(df)
+    df = add_rolling_claim_cost(df, with_patient_totals=with_patient_totals)
     return add_lag_features(df)
 
 
@@ -33,4 +33,6 @@ def run_all_transforms(spark: SparkSession, claims: DataFrame, patients: DataFra
 
 
 def feature_table(claims: DataFrame, patients: DataFrame) -> DataFrame:
-    return engineer_features(enriched_claims(claims, patients))
+    """Enriched claims (with patient totals from the same daily aggregate),
+    landed once, then provider and payer rates."""
+    return engineer_features(enriched_claims(claims, patients, with_patient_totals=True))

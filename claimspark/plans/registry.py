@@ -48,11 +48,15 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def _claims(spark, sf):
-    return adapter.claims(spark, sf)
+    return adapter.landed(spark, sf)[0]
+
+
+def _tables(spark, sf):
+    return adapter.landed(spark, sf)
 
 
 def _enriched(spark, sf):
-    return join_claims_patients(*adapter.load(spark, sf))
+    return join_claims_patients(*_tables(spark, sf))
 
 
 def _mean(x: str) -> str:
@@ -209,7 +213,7 @@ UNION ALL SELECT 'mean_claim_amount', {_mean('claim_amount')} FROM claims
 UNION ALL SELECT 'n_patients', CAST(COUNT(*) AS DOUBLE) FROM patients
 UNION ALL SELECT 'mean_age', {_mean('age')} FROM patients"""))
 def q_dataset_summary(spark, sf):
-    return reports.dataset_summary(*adapter.load(spark, sf))
+    return reports.dataset_summary(*_tables(spark, sf))
 
 
 @register("class_weights", oracle("""
@@ -392,13 +396,13 @@ def q_comorbidity(spark, sf):
 @register("enriched_claims", oracle("SELECT * FROM timeline", ctes=_TIMELINE_CTE))
 def q_enriched_claims(spark, sf):
     """Join -> rolling 90-day window -> lag features, all claim columns."""
-    return pipelines.enriched_claims(*adapter.load(spark, sf))
+    return pipelines.enriched_claims(*_tables(spark, sf))
 
 
 @register("feature_table", oracle("SELECT * FROM features", ctes=_FEATURES_CTE))
 def q_feature_table(spark, sf):
     """The full pre-vector feature table."""
-    return pipelines.feature_table(*adapter.load(spark, sf))
+    return pipelines.feature_table(*_tables(spark, sf))
 
 
 def _fill_sql() -> str:
@@ -418,7 +422,7 @@ def _fill_sql() -> str:
 def q_features_filled(spark, sf):
     from claimspark.schemas import NUMERIC_FEATURES
 
-    df = feat.fill_training(pipelines.feature_table(*adapter.load(spark, sf)))
+    df = feat.fill_training(pipelines.feature_table(*_tables(spark, sf)))
     return df.select("claim_id", *NUMERIC_FEATURES)
 
 
@@ -427,7 +431,7 @@ def q_features_filled(spark, sf):
               CAST(readmission_30day AS INTEGER) AS readmission_30day FROM features""",
     ctes=_FEATURES_CTE))
 def q_model_inputs(spark, sf):
-    return feat.model_inputs(pipelines.feature_table(*adapter.load(spark, sf)))
+    return feat.model_inputs(pipelines.feature_table(*_tables(spark, sf)))
 
 
 # --------------------------------------------------------------------------
@@ -800,7 +804,7 @@ def _prepared(spark, sf):
 
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STATE:
-        _STATE[key] = training.prepare(pipelines.feature_table(*adapter.load(spark, sf)))
+        _STATE[key] = training.prepare(pipelines.feature_table(*_tables(spark, sf)))
     return _STATE[key]
 
 

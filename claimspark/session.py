@@ -87,3 +87,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "claimspark", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing joins and windows) and gives later branches pruned scans."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

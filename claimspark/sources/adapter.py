@@ -134,3 +134,22 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return claims(spark, sf_dir), patients(spark, sf_dir)
+
+
+_LANDED: dict = {}
+
+
+def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Claims and patients derived once and landed as Parquet in the shared
+    folder (the ingestion step); later queries scan those files with column
+    pruning and filter push-down instead of re-running the source joins."""
+    from claimspark.session import shared_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _LANDED:
+        base = shared_path(spark, "landed")
+        claims(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/claims")
+        patients(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/patients")
+        _LANDED[key] = base
+    base = _LANDED[key]
+    return spark.read.parquet(f"{base}/claims"), spark.read.parquet(f"{base}/patients")
