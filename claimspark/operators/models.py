@@ -31,6 +31,9 @@ RF_FOLDS = 3
 GBT_PARAMS = dict(maxIter=300, maxDepth=8, stepSize=0.05, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8")
 SEED = 42
+# Execution-only settings for tree learners (do not change the fitted model):
+# cache node ids between levels and give histogram aggregation more room.
+TREE_EXEC = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 
 def add_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -62,16 +65,16 @@ def logistic_regression(**overrides) -> LogisticRegression:
 
 def random_forest(**overrides) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT,
-                                  rawPredictionCol="raw_prediction", seed=SEED, **overrides)
+                                  rawPredictionCol="raw_prediction", seed=SEED, **{**TREE_EXEC, **overrides})
 
 
 def gradient_boosted_trees(**overrides) -> GBTClassifier:
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=SEED,
-                         **{**GBT_PARAMS, **overrides})
+                         **{**TREE_EXEC, **GBT_PARAMS, **overrides})
 
 
 def tune_random_forest(prepared_train: DataFrame, grid: dict | None = None, folds: int = RF_FOLDS,
-                       parallelism: int = 1):
+                       parallelism: int = 2):
     """Grid search x k-fold CV on AUC-ROC; returns the CrossValidatorModel."""
     rf = random_forest()
     g = grid or RF_GRID

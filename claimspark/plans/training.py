@@ -41,7 +41,7 @@ def prepare(features: DataFrame, train_fraction: float = 0.8, seed: int = 42,
     pre = M.fit_preprocessing(train)
     ptrain = pre.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     ptest = pre.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(train, test, pre, ptrain, ptest, M.feature_names(ptrain))
+    return Prepared(train, test, pre, ptrain, ptest, M.feature_names(ptrain, "raw_features"))
 
 
 def fit(p: Prepared, kind: str, rf_grid: dict | None = None, gbt_params: dict | None = None):
