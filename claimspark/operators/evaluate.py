@@ -124,3 +124,9 @@ def classification_metrics(scored: DataFrame, label: str = "label", prediction:
         (w0 * r0 + w1 * r1).alias("weighted_recall"),
         (w0 * f1_0 + w1 * f1_1).alias("weighted_f1"),
     )
+
+
+def base_rate(scored: DataFrame, label: str = "label") -> DataFrame:
+    """Share of positives: the precision of a random ranking (PR baseline)."""
+    return scored.agg(F.try_divide(F.sum(F.col(label)).cast("double"),
+                                   F.count(F.col(label)).cast("double")).alias("base_rate"))

@@ -70,7 +70,7 @@ def random_forest(**overrides) -> RandomForestClassifier:
 
 def gradient_boosted_trees(**overrides) -> GBTClassifier:
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=SEED,
-                         **{**TREE_EXEC, **GBT_PARAMS, **overrides})
+                         **{"maxMemoryInMB": 1024, **GBT_PARAMS, **overrides})
 
 
 def tune_random_forest(prepared_train: DataFrame, grid: dict | None = None, folds: int = RF_FOLDS,

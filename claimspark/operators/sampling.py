@@ -60,3 +60,10 @@ def split_balance(df: DataFrame, label: str, split_col: str = "split") -> DataFr
         F.count(F.lit(1)).alias("rows"),
         F.try_divide(F.sum(label).cast("double"), F.count(label).cast("double")).alias("positive_rate"),
     )
+
+
+def hash_sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "claim_id") -> DataFrame:
+    """Exactly min(n, rows) rows without replacement: the n smallest seeded
+    hashes (a top-k, evaluated as per-partition top-n then a merge)."""
+    return (df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+            .orderBy("_h", key).limit(n).drop("_h"))

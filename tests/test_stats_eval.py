@@ -77,3 +77,13 @@ def test_histogram_and_trend(spark):
     assert sum(r["n"] for r in h) == 100 and len(h) == 10
     t = stats.linear_trend(df, "x", "y").first()
     assert (t["slope"], t["intercept"]) == (2.0, 1.0)
+
+
+def test_base_rate_and_sample_n(spark):
+    from claimspark.operators import sampling
+
+    rows, df = _scored(spark)
+    assert ev.base_rate(df).first()["base_rate"] == pytest.approx(sum(y for _, y, _ in rows) / len(rows))
+    a = sampling.hash_sample_n(df, 100).collect()
+    b = sampling.hash_sample_n(df.repartition(7), 100).collect()
+    assert len(a) == 100 and sorted(map(tuple, a)) == sorted(map(tuple, b))
