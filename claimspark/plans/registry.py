@@ -998,3 +998,37 @@ def q_score_claims(spark, sf):
     hist = scoring.fit_history(c)
     scored, _rejected = scoring.score_claims(c, pre, clf, hist, rules)
     return scored
+
+
+def _rf_phis(spark, sf):
+    """TreeSHAP of the tuned random forest's P(readmit) on every test row."""
+    from claimspark.operators import treeshap
+
+    p = _prepared(spark, sf)
+    key = ("rf_phis", spark.sparkContext.applicationId, sf)
+    if key not in _STATE:
+        from claimspark.session import materialize
+
+        phis, base = treeshap.explain_trees(p.ptest, _model(spark, sf, "random_forest"), "random_forest", p.names)
+        _STATE[key] = (materialize(phis, "rf-shap"), base)
+    return _STATE[key]
+
+
+@register("explain_tree_global")
+def q_explain_tree_global(spark, sf):
+    """Random forest: mean |SHAP| per feature over all test rows, top 15."""
+    from claimspark.operators import explain
+
+    return explain.global_importance(_rf_phis(spark, sf)[0], 15)
+
+
+@register("explain_tree_top_patient")
+def q_explain_tree_top(spark, sf):
+    """Random forest: base value and the 12 largest SHAP values of the highest-risk test claim."""
+    from claimspark.operators import explain
+    from claimspark.operators import models as M
+
+    p = _prepared(spark, sf)
+    phis, base = _rf_phis(spark, sf)
+    scored = M.score(_model(spark, sf, "random_forest"), p.ptest)
+    return explain.top_row_explanation(phis, scored, 12).withColumn("base_value", F.lit(base))

@@ -67,3 +67,21 @@ def test_results_roundtrip(spark, prepared, tmp_path):
     summary = R.stats_summary(res, "logistic_regression", prepared.train).first()
     assert summary["records_processed"] == prepared.train.count()
     assert len(summary["top_features"]) == 5 and "auc_roc" in summary["model_metrics"]
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosted_trees"])
+def test_tree_shap_local_accuracy(spark, prepared, kind):
+    from claimspark.operators import treeshap
+
+    est = (M.random_forest(numTrees=4, maxDepth=4) if kind == "random_forest"
+           else M.gradient_boosted_trees(maxIter=4, maxDepth=3))
+    model = est.fit(prepared.ptrain)
+    rows = prepared.ptest.orderBy("claim_id").limit(40)
+    phis, base = treeshap.explain_trees(rows, model, kind, prepared.names)
+    total = {r["claim_id"]: r[1] for r in phis.groupBy("claim_id").agg(F.sum("phi")).collect()}
+    raw = "raw_prediction" if kind == "random_forest" else "rawPrediction"
+    out = model.transform(rows).select(
+        "claim_id", vector_to_array("probability")[1].alias("p"), vector_to_array(raw)[1].alias("m"))
+    for r in out.collect():
+        target = r["p"] if kind == "random_forest" else r["m"]
+        assert base + total[r["claim_id"]] == pytest.approx(target, abs=1e-9)
