@@ -38,6 +38,13 @@ def prepare(features: DataFrame, train_fraction: float = 0.8, seed: int = 42,
     df.write.mode("overwrite").partitionBy("split").parquet(landing)
     landed = spark.read.parquet(landing)
     train, test = landed.where("split = 'train'"), landed.where("split = 'test'")
+    # Iterative learners scan the training set many times: give them at least
+    # one partition per core (hash on the key keeps the layout deterministic).
+    target = spark.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < target:
+        train = train.repartition(target, "claim_id")
+    if test.rdd.getNumPartitions() < target:
+        test = test.repartition(target, "claim_id")
     pre = M.fit_preprocessing(train)
     ptrain = pre.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     ptest = pre.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
