@@ -9,8 +9,9 @@ across many tasks, and then repairs the values at partition boundaries:
    partition id, and hash-distribute on that id (a bounded group per id).
 2. Plain window functions partitioned by ``(id, k)`` compute the scan
    locally; one sort serves every window.
-3. The scanned frame is checkpointed once; a JVM aggregate over it keeps
-   one summary row per range partition (first key, last group's totals).
+3. The scanned frame is landed once as Parquet in the shared checkpoint
+   folder; a JVM aggregate over it keeps one summary row per range
+   partition (first key, last group's totals).
 4. Offsets are derived from the summaries (one row per partition, so their
    size is bounded by the partition count) and broadcast back.
 
@@ -116,13 +117,13 @@ def ordered_scan(
     for o, src in spec.lags.items():
         local_cols[o] = F.lag(F.col(src)).over(w_grp)
     # Range bounds come from sampling and differ between executions, so the
-    # locally scanned frame is checkpointed once (reliable storage under the
-    # cluster's checkpoint dir): the summary and the final join then see the
-    # same partition ids, and a lost executor re-reads files, not the sample.
-    from claimspark.session import ensure_checkpoint_dir
+    # locally scanned frame is written once as Parquet under the cluster's
+    # shared checkpoint folder: the summary and the final join then read the
+    # same partition ids (a stored column), in one compute pass, with column
+    # pruning; a lost executor re-reads files instead of re-sampling.
+    from claimspark.session import materialize
 
-    ensure_checkpoint_dir(spark)
-    local = tagged.withColumns(local_cols).checkpoint(eager=True)
+    local = materialize(tagged.withColumns(local_cols), "scan")
 
     first = F.col("_prn") == 1
     last = F.col("_prn") == F.col("_pcnt")
