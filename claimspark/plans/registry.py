@@ -253,9 +253,6 @@ WINDOW w90 AS (PARTITION BY patient_id ORDER BY date_diff('day', DATE '1970-01-0
 _TIMELINE_CTE = _ENRICH_CTE + f""",
 timeline AS (SELECT *, {_TIMELINE_COLS} FROM enriched {_WINDOWS})"""
 
-_RISK_CASE = None
-
-
 def _risk_sql() -> str:
     from claimspark.schemas import DIAGNOSIS_RISK
 
