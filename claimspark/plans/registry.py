@@ -1029,3 +1029,24 @@ def q_explain_tree_top(spark, sf):
     phis, base = _rf_phis(spark, sf)
     scored = M.score(_model(spark, sf, "random_forest"), p.ptest)
     return explain.top_row_explanation(phis, scored, 12).withColumn("base_value", F.lit(base))
+
+
+@register("stream_score_claims")
+def q_stream_score(spark, sf):
+    """Structured Streaming scorer over the landed claim files (availableNow
+    trigger, checkpointed, foreachBatch sinks); returns the scored rows."""
+    from claimspark.operators import scoring
+    from claimspark.streaming.scoring import claim_stream, start_scoring
+    from pyspark.ml import PipelineModel
+
+    p = _prepared(spark, sf)
+    claims = _claims(spark, sf)
+    src = shared_path(spark, "incoming-claims")
+    claims.write.parquet(src)
+    out = shared_path(spark, "streamed-scores")
+    rules = {k: v for k, v in quality.CLAIM_RULES.items() if k != "state_two_letters"}
+    q = start_scoring(claim_stream(spark, src, claims.schema), PipelineModel(stages=p.preprocessing.stages),
+                      _model(spark, sf, "logistic_regression"), scoring.fit_history(claims), out,
+                      rules=rules, available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)
