@@ -37,11 +37,12 @@ def register(name: str, sql: str | None = None):
 
 
 def normalize(df: DataFrame) -> DataFrame:
-    """Widen decimals to precision 38 (sums differ in precision across engines)."""
+    """Widen computed decimals (sums: precision > 18) to precision 38, the
+    width SQL engines give a decimal sum; stored money columns keep theirs."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
             c = c.cast(T.DecimalType(38, f.dataType.scale))
         out.append(c.alias(f.name))
     return df.select(*out)
@@ -604,7 +605,7 @@ def q_boxplot(spark, sf):
 @register("age_los_trend", oracle("""
 SELECT ROUND(REGR_SLOPE(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)), 6) AS slope,
        ROUND(REGR_INTERCEPT(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)), 6) AS intercept,
-       REGR_COUNT(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)) AS n
+       CAST(REGR_COUNT(CAST(length_of_stay AS DOUBLE), CAST(age AS DOUBLE)) AS BIGINT) AS n
 FROM claims"""))
 def q_trend(spark, sf):
     """Least-squares trend of length_of_stay on age over all rows."""
