@@ -6,11 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimspark import functions as cf
-from claimspark.operators.rates import (
-    add_cost_features,
-    add_payer_approval_rate,
-    add_provider_denial_rate,
-)
+from claimspark.operators.rates import add_cost_features, add_rates
 from claimspark.schemas import (
     CATEGORICAL_FEATURES,
     LABEL,
@@ -67,8 +63,7 @@ def engineer_features(enriched: DataFrame, land: bool = True) -> DataFrame:
     df = add_row_features(enriched)
     if land:
         df = materialize(df, "enriched")
-    df = add_provider_denial_rate(df)
-    df = add_payer_approval_rate(df)
+    df = add_rates(df)
     if "patient_avg_claim" not in df.columns:
         df = add_cost_features(df)
     return df

@@ -34,31 +34,49 @@ def rank_providers_by_denial_rate(df: DataFrame, min_claims: int = 10) -> DataFr
     return ranked.withColumn("denial_rank", F.col("denial_rank").cast("int"))
 
 
+def group_stats(df: DataFrame, keys: list[str], aggs: dict, broadcast_max_rows: int = 0) -> DataFrame:
+    """One row per group (map-side partial aggregate, then a small shuffle);
+    broadcast-marked only when its counted size is under the bound."""
+    stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    return sized_broadcast(stats, broadcast_max_rows) if broadcast_max_rows else stats
+
+
 def add_group_stats(df: DataFrame, keys: list[str], aggs: dict, broadcast_max_rows: int = 0) -> DataFrame:
-    """Attach per-group aggregates to every row (window-free).
+    """Attach per-group aggregates to every row (window-free): no single task
+    ever has to hold a whole group."""
+    return join_on_keys(df, group_stats(df, keys, aggs, broadcast_max_rows), keys)
+
+
+PROVIDER_RATES = {
+    "provider_denial_rate": lambda: mean("denial_flag"),
+    "provider_claim_volume": lambda: F.count("claim_id"),
+}
+PAYER_RATES = {"payer_approval_rate": lambda: F.lit(1.0) - mean("denial_flag")}
 
-    A map-side partial aggregate shrinks each group to one row before the
-    shuffle; joining back needs no single task to hold a whole group.
-    """
-    stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    if broadcast_max_rows:
-        stats = sized_broadcast(stats, broadcast_max_rows)
-    return join_on_keys(df, stats, keys)
+
+def provider_rate_table(df: DataFrame) -> DataFrame:
+    return group_stats(df, ["provider_id"], {k: f() for k, f in PROVIDER_RATES.items()}, 2_000_000)
+
+
+def payer_rate_table(df: DataFrame) -> DataFrame:
+    """A handful of payers: a window on payer_type would run in a handful of
+    tasks, so the rate is aggregated and broadcast (size checked)."""
+    return group_stats(df, ["payer_type"], {k: f() for k, f in PAYER_RATES.items()}, 100_000)
 
 
 def add_provider_denial_rate(df: DataFrame) -> DataFrame:
-    return add_group_stats(df, ["provider_id"], {
-        "provider_denial_rate": mean("denial_flag"),
-        "provider_claim_volume": F.count("claim_id"),
-    }, broadcast_max_rows=2_000_000)
+    return join_on_keys(df, provider_rate_table(df), ["provider_id"])
 
 
 def add_payer_approval_rate(df: DataFrame) -> DataFrame:
-    """1 - denial rate per payer. A handful of payers means a window on
-    payer_type would run in a handful of tasks; aggregate + broadcast avoids it."""
-    return add_group_stats(df, ["payer_type"], {
-        "payer_approval_rate": F.lit(1.0) - mean("denial_flag"),
-    }, broadcast_max_rows=100_000)
+    return join_on_keys(df, payer_rate_table(df), ["payer_type"])
+
+
+def add_rates(df: DataFrame) -> DataFrame:
+    """Provider and payer rates, both aggregated from ``df`` itself (not one
+    from the other's join output), then joined on."""
+    prov, pay = provider_rate_table(df), payer_rate_table(df)
+    return join_on_keys(join_on_keys(df, prov, ["provider_id"]), pay, ["payer_type"])
 
 
 def add_cost_features(df: DataFrame) -> DataFrame:
