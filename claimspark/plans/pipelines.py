@@ -12,10 +12,16 @@ from claimspark.plans.sql import compute_aggregations_sql
 
 
 def enriched_claims(claims: DataFrame, patients: DataFrame, with_patient_totals: bool = False) -> DataFrame:
-    """Join -> rolling 90-day cost -> lag features (no action is run)."""
-    df = join_claims_patients(claims, patients)
-    df = add_rolling_claim_cost(df, with_patient_totals=with_patient_totals)
-    return add_lag_features(df)
+    """Lag features -> patient join -> rolling 90-day cost.
+
+    The lag scan only needs claim columns, so it runs first, directly on the
+    claims table: its range-bound sampling then re-reads a Parquet scan, not
+    a join and a window. Its output is landed once, and the join and the
+    rolling window read that copy.
+    """
+    df = add_lag_features(claims)
+    df = join_claims_patients(df, patients)
+    return add_rolling_claim_cost(df, with_patient_totals=with_patient_totals)
 
 
 def compute_aggregations(claims: DataFrame) -> dict[str, DataFrame]:
