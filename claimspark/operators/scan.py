@@ -142,8 +142,6 @@ def ordered_scan(
 
     # Offsets per partition: one row per partition, a bounded table.
     w_all = Window.orderBy(PID)
-    keys = spec.partition_by
-    orders = [c for c, _ in spec.order_by]
     s = summary
     for c in keys:
         s = s.withColumn("_plk_" + c, F.lag("_lk_" + c).over(w_all))
@@ -154,7 +152,6 @@ def ordered_scan(
         [F.col("_fk_" + c) for c in keys], [F.col("_plk_" + c) for c in keys]
     )
     whole = _null_safe_eq([F.col("_fk_" + c) for c in keys], [F.col("_lk_" + c) for c in keys])
-    dcols = spec.dense_cols()
     straddle = joins_prev & whole & _null_safe_eq(
         [F.col("_fo_" + c) for c in dcols], [F.col("_plo_" + c) for c in dcols]
     )
