@@ -16,12 +16,44 @@ CORRELATION_COLUMNS = ["readmission_30day", "age", "length_of_stay", "claim_amou
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
-    """Pearson correlation of every column pair (lower triangle) in one
-    aggregate. Output: (x, y, r) with r rounded to ``digits``."""
+    """Pearson correlation of every column pair (lower triangle), pairwise
+    complete (a row counts for a pair when both values are present).
+
+    Two passes of plain sums: the pairwise means (one row of scalars), then
+    the centred co-moments. A single aggregate of many ``corr`` functions
+    compiles into one oversized method that the JVM will not JIT; plain sums
+    stay small, and centring first is the numerically stable form.
+    Output: (x, y, r) with r rounded to ``digits``.
+    """
     cols = columns or CORRELATION_COLUMNS
     pairs = list(combinations(cols, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
+    x = {c: F.col(c).cast("double") for c in cols}
+
+    def both(a, b):
+        return x[a].isNotNull() & x[b].isNotNull()
+
+    means = df.agg(*[
+        e for i, (a, b) in enumerate(pairs) for e in (
+            F.avg(F.when(both(a, b), x[a])).alias(f"ma{i}"),
+            F.avg(F.when(both(a, b), x[b])).alias(f"mb{i}"),
+        )
+    ]).first()   # one row: 2 scalars per pair
+    sums = []
+    for i, (a, b) in enumerate(pairs):
+        ma, mb = means[f"ma{i}"], means[f"mb{i}"]
+        if ma is None:
+            sums += [F.lit(None).cast("double").alias(f"sxy{i}"), F.lit(None).cast("double").alias(f"sxx{i}"),
+                     F.lit(None).cast("double").alias(f"syy{i}"), F.lit(0).cast("bigint").alias(f"n{i}")]
+            continue
+        da, db = x[a] - F.lit(ma), x[b] - F.lit(mb)
+        ok = both(a, b)
+        sums += [F.sum(F.when(ok, da * db)).alias(f"sxy{i}"), F.sum(F.when(ok, da * da)).alias(f"sxx{i}"),
+                 F.sum(F.when(ok, db * db)).alias(f"syy{i}"), F.count_if(ok).alias(f"n{i}")]
+    wide = df.agg(*sums)
+    rs = [F.when(F.col(f"n{i}") >= 2,
+                 F.col(f"sxy{i}") / F.sqrt(F.col(f"sxx{i}") * F.col(f"syy{i}"))).alias(f"c{i}")
+          for i in range(len(pairs))]
+    wide = wide.select(*rs)
     stack = ", ".join(f"'{b}', '{a}', c{i}" for i, (a, b) in enumerate(pairs))
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (x, y, r)").withColumn(
         "r", F.round("r", digits))

@@ -87,3 +87,20 @@ def test_base_rate_and_sample_n(spark):
     a = sampling.hash_sample_n(df, 100).collect()
     b = sampling.hash_sample_n(df.repartition(7), 100).collect()
     assert len(a) == 100 and sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_correlation_pairwise_complete(spark):
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(500):
+        a = rnd.gauss(0, 1)
+        b = a * 0.5 + rnd.gauss(0, 1)
+        c = None if rnd.random() < 0.2 else b - a + rnd.gauss(0, 0.3)
+        rows.append((a, b, c))
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["x"], r["y"]): r["r"] for r in stats.correlation_matrix(df, ["a", "b", "c"], 9).collect()}
+    for x, y in [("b", "a"), ("c", "a"), ("c", "b")]:
+        pairs = [(r["abc".index(x)], r["abc".index(y)]) for r in rows
+                 if r["abc".index(x)] is not None and r["abc".index(y)] is not None]
+        exp = float(np.corrcoef(np.array(pairs).T)[0, 1])
+        assert got[(x, y)] == pytest.approx(exp, abs=1e-8)
