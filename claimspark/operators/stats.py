@@ -134,8 +134,21 @@ def box_stats(df: DataFrame, column: str = "claim_amount", by: list[str] | None
     q = exact_percentiles(df, column, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     x = F.col(column).cast("double")
-    qs = sized_broadcast(q, 1_000_000) if by else q
-    j = join_on_keys(df.select(*by, x.alias("_x")), qs, by, "inner") if by else None
+    if not by:
+        # one global box: quartiles and whiskers are a handful of scalars
+        r = q.first()
+        lo = hi = None
+        if r is not None and r["q1"] is not None:
+            lo_f, hi_f = r["q1"] - whisker * r["iqr"], r["q3"] + whisker * r["iqr"]
+            ends = df.agg(F.min(F.when(x >= F.lit(lo_f), x)).alias("lo"),
+                          F.max(F.when(x <= F.lit(hi_f), x)).alias("hi")).first()
+            lo, hi = ends["lo"], ends["hi"]
+        vals = [None if r is None else r[c] for c in ("q1", "median", "q3", "iqr")]
+        return df.sparkSession.createDataFrame(
+            [(*vals, lo, hi)],
+            "q1 double, median double, q3 double, iqr double, whisker_low double, whisker_high double")
+    qs = sized_broadcast(q, 1_000_000)
+    j = join_on_keys(df.select(*by, x.alias("_x")), qs, by, "inner")
     lo_fence = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(whisker) * F.col("iqr")
     w = j.groupBy(*by).agg(

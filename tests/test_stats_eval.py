@@ -104,3 +104,14 @@ def test_correlation_pairwise_complete(spark):
                  if r["abc".index(x)] is not None and r["abc".index(y)] is not None]
         exp = float(np.corrcoef(np.array(pairs).T)[0, 1])
         assert got[(x, y)] == pytest.approx(exp, abs=1e-8)
+
+
+def test_box_stats_global_and_grouped(spark):
+    vals = [float(v) for v in range(1, 101)] + [1000.0]
+    df = spark.createDataFrame([("a", v) for v in vals], "g string, v double")
+    glob = stats.box_stats(df, "v", []).first()
+    q1, q3 = np.percentile(vals, 25), np.percentile(vals, 75)
+    assert (glob["q1"], glob["q3"]) == (pytest.approx(q1), pytest.approx(q3))
+    assert glob["whisker_high"] == 100.0 and glob["whisker_low"] == 1.0
+    grp = stats.box_stats(df, "v", ["g"]).first()
+    assert grp["whisker_high"] == glob["whisker_high"] and grp["median"] == glob["median"]
