@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import packing, quality_rules, url_filter
+from claimspark.llm import near_dedup, packing, quality_rules, url_filter
 from claimspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op7_super_minhash_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, size=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def _op10_sql() -> str:
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     host, other = [], []
