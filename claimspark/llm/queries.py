@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import near_dedup, packing, quality_rules, topk, url_filter
+from claimspark.llm import near_dedup, packing, quality_rules, topk, toxicity, url_filter
 from claimspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, size=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op8_mil_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = lambda c: F.crc32(c.cast("string").cast("binary")) % 3
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder(F.col("doc_id")) != 1)
+    found = toxicity.score_texts(docs, toxicity.learn(docs, labels), toxicity.THRESHOLD)
+    return found.select(
+        "row.doc_id", F.coalesce(remainder(F.col("row.doc_id")) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("sentences").cast("long").alias("n_offending"))
+
+
 _OP9_SQL = """
     WITH v AS (
       SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
