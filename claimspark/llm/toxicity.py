@@ -21,6 +21,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,7 +45,7 @@ CACHE_WORDS = 500_000
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _WORD = re.compile(r"[^\W_]+")
 #: A sentence that has a word.
-_FILLED = re.compile(r"[^.!?\n]*?[^\W_][^.!?\n]*")
+_FILLED = re.compile(r"[^\W_][^.!?\n]*")
 
 
 def features(word: str) -> list[int]:
@@ -123,8 +124,8 @@ def fit(bag: np.ndarray, lengths: np.ndarray, flat: np.ndarray, toxic: np.ndarra
 def sentence_features(text: str | None) -> tuple[list[int], list[int]]:
     """Number of features of each sentence, and the features in a row."""
     lengths, flat = [], []
-    for s in _SENTENCE.findall(text or ""):
-        if words := _WORD.findall(s.lower()):
+    for s in _SENTENCE.findall((text or "").lower()):
+        if words := _WORD.findall(s):
             own = {f for w in set(words) for f in features(w)}
             lengths.append(len(own))
             flat += own
@@ -177,31 +178,33 @@ def score_texts(docs: DataFrame, model: SentenceModel | None, least: float = 0.5
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         known: dict[str, float] = {}
-        floor = np.log1p(np.exp(own.bias)) if own else 0.0  # -log(1 - p) of a plain sentence
+        floor = math.log1p(math.exp(own.bias)) if own else 0.0  # -log(1 - p) of a plain sentence
         for part in slices(batches, "text"):
             scores, spans = [], []
             for text in part.column("text").to_pylist():
                 found, gone = [], 0.0
                 if own and text:
-                    words = set(_WORD.findall(text.lower()))
-                    fresh = words - known.keys()
+                    low = text.lower()
+                    words = set(_WORD.findall(low))
+                    fresh = words.difference(known)
                     if len(known) + len(fresh) > CACHE_WORDS:
                         known.clear()
                         fresh = words
                     for w in fresh:
                         known[w] = own.word_weight(w)
                     if any(map(known.__getitem__, words)):
-                        for match in _SENTENCE.finditer(text):
-                            if not (inside := set(_WORD.findall(match.group().lower()))):
+                        # lower-casing can lengthen a text, but splits no sentence
+                        for match, sentence in zip(_SENTENCE.finditer(text), _SENTENCE.findall(low), strict=True):
+                            if not (inside := set(_WORD.findall(sentence))):
                                 continue
-                            z = min(30.0, max(-30.0, own.bias + sum(known[w] if w in known else own.word_weight(w) for w in inside)))
-                            gone += np.log1p(np.exp(z))
-                            p = 1 / (1 + np.exp(-z))
+                            z = min(30.0, max(-30.0, own.bias + sum(map(known.__getitem__, inside))))
+                            gone += math.log1p(math.exp(z))
+                            p = 1 / (1 + math.exp(-z))
                             if p >= least:
-                                found.append({"start": match.start(), "end": match.end(), "score": float(p)})
+                                found.append({"start": match.start(), "end": match.end(), "score": p})
                     else:
-                        gone = floor * len(_FILLED.findall(text))
-                scores.append(float(-np.expm1(-gone)))
+                        gone = floor * len(_FILLED.findall(low))
+                scores.append(-math.expm1(-gone))
                 spans.append(found)
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(scores, pa.float64()),
