@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import near_dedup, packing, quality_rules, topk, toxicity, url_filter
+from claimspark.llm import near_dedup, packing, pii, quality_rules, topk, toxicity, url_filter
 from claimspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_bilstm_crf_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.learn(docs))
+    name = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    joined = lambda spans: F.array_join(F.transform(spans, name), ",")
+    # all spans by kind as listed, then start
+    order = F.array(*map(F.lit, pii.KINDS))
+    every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        F.array_position(order, s["kind"]).alias("nth"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("row.doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(every).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"))
+
+
 @query("op7_super_minhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
