@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import near_dedup, packing, pii, quality_rules, topk, toxicity, url_filter
+from claimspark.llm import licenses, line_templates, mixing, near_dedup, packing, pii, quality_rules, topk, toxicity, url_filter
 from claimspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,44 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_raked_mixture")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.calibrated(docs).where("sampled").select("row.doc_id", "source", "lang", "topic", "tokens", "probability")
+
+
+def _op2_sql() -> str:
+    T = line_templates
+    depth, parts, gap = T.DEPTH, T.SEGMENTS, T.GAP
+    width = f"ceil((n - {depth}) / {parts}.0)::INTEGER"
+    segment = lambda i: f"array_to_string(t[{depth + 1} + {i} * {width}:{depth} + {i + 1} * {width}], ' ')"
+    level = lambda i: "concat_ws('|', " + ", ".join(
+        [f"{i}", "n", f"array_to_string(t[1:{depth}], ' ')", *[f"'{j}:' || {segment(j)}" for j in range(parts) if j != i - 1]]) + ")"
+    return f"""
+    WITH d AS (SELECT doc_id, text, md5(coalesce(text, '')) AS k, string_split(text, chr(10)) AS ls FROM documents),
+    l AS (SELECT DISTINCT doc_id, k, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+    w AS (SELECT doc_id, k, i, list_transform(list_filter(regexp_split_to_array(line, '{gap}'), lambda x: x <> ''),
+                 lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{T.FIELD}' ELSE x END) AS t FROM l),
+    n AS (SELECT *, len(t) AS n FROM w WHERE len(t) >= {T.MIN_TOKENS}),
+    c AS (SELECT doc_id, k, i, 0 AS level, {level(0)} AS template FROM n
+          {"".join(f" UNION ALL SELECT doc_id, k, i, {j}, {level(j)} FROM n WHERE n >= {T.SEGMENT_TOKENS}" for j in range(1, parts + 1))}),
+    r AS (SELECT template, count(DISTINCT k) AS support, arg_min({{'k': k, 'i': i}}, {{'d': doc_id, 'i': i, 'k': k}}) AS f
+          FROM c GROUP BY template HAVING count(DISTINCT k) >= {T.MIN_DOCS}),
+    b AS (SELECT doc_id, k, i, arg_min(f.k = k AND f.i = i, {{'w': level > 0, 's': -support, 'l': level}}) AS stays
+          FROM c JOIN r USING (template) GROUP BY doc_id, k, i),
+    g AS (SELECT doc_id, k, list(i) AS gone FROM b WHERE NOT stays GROUP BY doc_id, k)
+    SELECT d.doc_id, CASE WHEN gone IS NULL THEN text ELSE coalesce(array_to_string(
+             list_filter(ls, lambda x, i: NOT list_contains(gone, i)), chr(10)), '') END AS text,
+           (CASE WHEN text IS NULL OR text = '' THEN 0 ELSE len(ls) END)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_dropped
+    FROM d LEFT JOIN g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND d.k = g.k"""
+
+
+@query("op2_line_templates", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_templates(docs).select("row.doc_id", "text", "n_lines", "n_dropped")
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,6 +92,32 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("added").cast("long").alias("n_added"))
 
 
+def _op6_sql() -> str:
+    L = licenses
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    shingles = lambda text: (f"(SELECT list_distinct(list_transform(range(1, len(w) - {L.SHINGLE - 2}), lambda i: "
+                             f"array_to_string(w[i:i + {L.SHINGLE - 1}], ' '))) FROM (SELECT regexp_extract_all(lower({text}), '{L.WORD}') AS w))")
+    names = " UNION ALL ".join(f"SELECT {quoted(k)} AS license, {shingles(quoted(v))} AS s" for k, v in sorted(L.TEMPLATES.items()))
+    return f"""
+    WITH t0 AS ({names}),
+    t1 AS (SELECT license, s, len(s) AS m, pow(2, ceil(log2(len(s))))::BIGINT AS top FROM t0),
+    t2 AS (SELECT license, s, m, greatest(1, top // 2) AS step, top + greatest(1, top // 2) - 1 AS length FROM t1),
+    t AS (SELECT license, m, step, length, unnest(s) AS shingle FROM t2),
+    d AS (SELECT DISTINCT doc_id, md5(coalesce(text, '')) AS k, regexp_extract_all(lower(text), '{L.WORD}') AS w FROM documents),
+    p AS (SELECT doc_id, k, w, unnest(range(0, len(w) - {L.SHINGLE - 1})) AS pos FROM d),
+    h AS (SELECT doc_id, k, license, shingle, pos, m, step, length FROM p JOIN t ON array_to_string(w[pos + 1:pos + {L.SHINGLE}], ' ') = shingle),
+    x AS (SELECT doc_id, k, license, shingle, m, unnest(range(greatest(0, (pos - length + step) // step * step), pos + 1, step)) AS start, pos, length FROM h),
+    c AS (SELECT doc_id, k, license, start, count(DISTINCT shingle) / m AS containment FROM x WHERE start <= pos AND pos < start + length
+          GROUP BY doc_id, k, license, start, m HAVING 100 * count(DISTINCT shingle) >= {L.CONTAINMENT} * m)
+    SELECT doc_id, license, max(containment) AS containment, arg_min(start, {{'c': -containment, 's': start}})::INTEGER AS first_word
+    FROM c GROUP BY doc_id, k, license"""
+
+
+@query("op6_license_scan", _op6_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op7_super_minhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
