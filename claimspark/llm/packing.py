@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +36,7 @@ OPEN_BINS = 32_768
 #: Tokens that one packer gets, about as many as OPEN_BINS bins hold.
 PACKER_TOKENS = OPEN_BINS * CAPACITY
 END_ID = 1
-#: Chunks that a Python worker remembers the ids of.
+#: Chunks that a Python worker remembers the ids of, in each of two generations.
 CACHE_CHUNKS = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -50,49 +51,73 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Byte-level symbols of the vocabulary: printable bytes stand for themselves.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_SYMBOLS = {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(_OTHERS)}
+
+
+class Memory:
+    """A dictionary in two generations: what was not used since the last change
+    of generation goes when ``most`` is reached, so that it stays bounded."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.old = most, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys without a value; ``now`` has the others afterwards."""
+        new = keys.difference(self.now)
+        if len(self.now) + len(new) > self.most:
+            self.now, self.old, new = {}, self.now, keys
+        self.now.update((k, self.old[k]) for k in new if k in self.old)
+        return new.difference(self.now)
+
+
 class ChunkEncoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
     The tokenizer drops white space and never joins over it, so a text's ids are
     those of its chunks in a row and chunks can be remembered. Letters up to
     U+00FF and the punctuation after them are also separate words to it, and
-    it lower-cases, so a new chunk is looked up by its letters first.
+    it lower-cases, so a new chunk is looked up by its letters first, and
+    these need only the vocabulary's merges. Probes show whether a tokenizer is
+    of this kind; if not, whole texts go through it.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) + len(chunks) > CACHE_CHUNKS:
-            self.chunks.clear()
-        if len(self.parts) + len(chunks) > CACHE_CHUNKS:
-            self.parts = {"": b""}
+        self.chunks, self.parts = Memory(CACHE_CHUNKS), Memory(CACHE_CHUNKS)
+        self.by_chunk = True
+        probes = ["Abc dE.\n\tgh!! Éa,b  ñß|| x", "It's 42 a1b2 re-do; ÀÉÎ... cl\u00f4ture"]
+        self.by_chunk = self.encode(probes) == self._whole(probes)
+
+    def _whole(self, texts) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: set[str]) -> None:
         split = {}
         for c in chunks:
             letters = c.rstrip(".,!|#$%&*")
             split[c] = (letters.lower(), c[len(letters):]) if letters.isalpha() and max(letters) < "Ā" else (c, "")
-        missing = list({p for pair in split.values() for p in pair} - self.parts.keys())
-        for part, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.parts[part] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-        parts = self.parts
-        self.chunks.update((c, parts[a] + parts[b]) for c, (a, b) in split.items())
+        fresh = self.parts.missing({p for pair in split.values() for p in pair})
+        parts, tokenize, rest = self.parts.now, self.tokenizer.model.tokenize, []
+        for p in fresh:
+            if p.isalpha() and max(p) < "Ā" and p == p.lower():
+                symbols = p if p.isascii() else p.encode().decode("latin-1").translate(_SYMBOLS)
+                parts[p] = array("I", [t.id for t in tokenize(symbols)]).tobytes()
+            else:
+                rest.append(p)
+        parts.update(zip(rest, self._whole(rest), strict=True))
+        self.chunks.now.update((c, parts[a] + parts[b]) for c, (a, b) in split.items())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_chunk:
+            return self._whole([t or "" for t in texts])
         split = [_CHUNK.findall(t) if t else [] for t in texts]
-        fresh = {c for chunks in split for c in chunks} - self.chunks.keys()
-        if len(fresh) > CACHE_CHUNKS:  # a slice of its own kind: no memory of it
-            return [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in
-                    self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
-        if fresh:
-            before = len(self.chunks)
-            self.learn(fresh)
-            if len(self.chunks) < before + len(fresh):  # cleared meanwhile
-                self.learn({c for chunks in split for c in chunks} - self.chunks.keys())
-        get = self.chunks.__getitem__
+        self._learn(self.chunks.missing(set().union(*split)))
+        get = self.chunks.now.__getitem__
         return [b"".join(map(get, chunks)) for chunks in split]
 
 
