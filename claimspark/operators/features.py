@@ -85,18 +85,27 @@ def model_inputs(features: DataFrame, keep: tuple[str, ...] = ("claim_id",)) ->
     return df.select(*cols, F.col(LABEL).cast("int").alias(LABEL))
 
 
+def has_null_input():
+    """Whether a row lacks a numeric model input (a null category has its own slot)."""
+    cond = F.lit(False)
+    for c in NUMERIC_FEATURES:
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
 def incomplete_rows(df: DataFrame) -> DataFrame:
-    """Rows a skip-invalid assembler would drop: a null in any model input."""
-    cond = None
-    for c in NUMERIC_FEATURES + CATEGORICAL_FEATURES:
-        e = F.col(c).isNull()
-        cond = e if cond is None else cond | e
-    return df.where(cond)
+    """Rows that cannot be encoded: a null in a numeric model input."""
+    return df.where(has_null_input())
+
+
+def complete_rows(df: DataFrame) -> DataFrame:
+    return df.where(~has_null_input())
 
 
 def encoding_stages(output_col: str = "raw_features", scaled_col: str | None = "scaled_features"):
-    """StringIndexer(keep) -> OneHotEncoder(dropLast) -> VectorAssembler(skip)
-    [-> StandardScaler(withStd, no centring)]."""
+    """StringIndexer(keep) -> OneHotEncoder(dropLast) -> VectorAssembler(error)
+    [-> StandardScaler(withStd, no centring)]. Incomplete rows are split off before
+    (``incomplete_rows``); the assembler raises on any that is left."""
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 
     idx = [f"{c}_idx" for c in CATEGORICAL_FEATURES]
@@ -104,7 +113,7 @@ def encoding_stages(output_col: str = "raw_features", scaled_col: str | None = "
     stages = [
         StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=idx, handleInvalid="keep"),
         OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
-        VectorAssembler(inputCols=NUMERIC_FEATURES + ohe, outputCol=output_col, handleInvalid="skip"),
+        VectorAssembler(inputCols=NUMERIC_FEATURES + ohe, outputCol=output_col, handleInvalid="error"),
     ]
     if scaled_col:
         stages.append(StandardScaler(inputCol=output_col, outputCol=scaled_col, withMean=False, withStd=True))

@@ -1,21 +1,14 @@
-"""Join helpers: size-checked broadcast and null-safe key joins."""
+"""Join helpers: null-safe key joins and key checks.
+
+No join is hinted: the planner and AQE broadcast a side by its measured bytes
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``) and split skewed keys.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; otherwise leave the choice to
-    the planner (sort-merge join, AQE skew splitting)."""
-    if max_rows <= 0:
-        return df
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join where null keys match each other (like a window partition).

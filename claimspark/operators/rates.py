@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.functions import mean, ratio_or
-from claimspark.operators.joins import join_on_keys, sized_broadcast
+from claimspark.operators.joins import join_on_keys
 from claimspark.operators.scan import ordered_scan
 
 
@@ -34,17 +34,15 @@ def rank_providers_by_denial_rate(df: DataFrame, min_claims: int = 10) -> DataFr
     return ranked.withColumn("denial_rank", F.col("denial_rank").cast("int"))
 
 
-def group_stats(df: DataFrame, keys: list[str], aggs: dict, broadcast_max_rows: int = 0) -> DataFrame:
-    """One row per group (map-side partial aggregate, then a small shuffle);
-    broadcast-marked only when its counted size is under the bound."""
-    stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
-    return sized_broadcast(stats, broadcast_max_rows) if broadcast_max_rows else stats
+def group_stats(df: DataFrame, keys: list[str], aggs: dict) -> DataFrame:
+    """One row per group (map-side partial aggregate, then a small shuffle)."""
+    return df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
 
 
-def add_group_stats(df: DataFrame, keys: list[str], aggs: dict, broadcast_max_rows: int = 0) -> DataFrame:
+def add_group_stats(df: DataFrame, keys: list[str], aggs: dict) -> DataFrame:
     """Attach per-group aggregates to every row (window-free): no single task
     ever has to hold a whole group."""
-    return join_on_keys(df, group_stats(df, keys, aggs, broadcast_max_rows), keys)
+    return join_on_keys(df, group_stats(df, keys, aggs), keys)
 
 
 PROVIDER_RATES = {
@@ -55,13 +53,13 @@ PAYER_RATES = {"payer_approval_rate": lambda: F.lit(1.0) - mean("denial_flag")}
 
 
 def provider_rate_table(df: DataFrame) -> DataFrame:
-    return group_stats(df, ["provider_id"], {k: f() for k, f in PROVIDER_RATES.items()}, 2_000_000)
+    return group_stats(df, ["provider_id"], {k: f() for k, f in PROVIDER_RATES.items()})
 
 
 def payer_rate_table(df: DataFrame) -> DataFrame:
     """A handful of payers: a window on payer_type would run in a handful of
-    tasks, so the rate is aggregated and broadcast (size checked)."""
-    return group_stats(df, ["payer_type"], {k: f() for k, f in PAYER_RATES.items()}, 100_000)
+    tasks, so the rate is aggregated and joined back."""
+    return group_stats(df, ["payer_type"], {k: f() for k, f in PAYER_RATES.items()})
 
 
 def add_provider_denial_rate(df: DataFrame) -> DataFrame:
@@ -79,6 +77,18 @@ def add_rates(df: DataFrame) -> DataFrame:
     return join_on_keys(join_on_keys(df, prov, ["provider_id"]), pay, ["payer_type"])
 
 
+def fit_rates(train: DataFrame) -> dict[str, DataFrame]:
+    """Provider and payer rate tables of the training rows alone."""
+    return {"provider_id": provider_rate_table(train), "payer_type": payer_rate_table(train)}
+
+
+def apply_rates(df: DataFrame, fitted: dict[str, DataFrame]) -> DataFrame:
+    """Attach fitted rates; a key that training had not gives nulls."""
+    for key, table in fitted.items():
+        df = join_on_keys(df, table, [key])
+    return df
+
+
 def add_cost_features(df: DataFrame) -> DataFrame:
     out = add_group_stats(df, ["patient_id"], {
         "patient_avg_claim": mean("claim_amount"),

@@ -9,15 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspark.operators.joins import join_on_keys, sized_broadcast
+from claimspark.operators.joins import join_on_keys
 from claimspark.operators.scan import ordered_scan
 
 BUCKETS = 10_000
 
 
+def seeded_hash(key: str, seed: int = 42):
+    """md5 of key and seed (null key: empty), the same in any engine."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+
+
 def hash_bucket(key: str, seed: int = 42):
     """Stable bucket in [0, BUCKETS) from the key and a seed."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(BUCKETS))
+    return F.conv(F.substring(seeded_hash(key, seed), 1, 13), 16, 10).cast("bigint") % F.lit(BUCKETS)
 
 
 def hash_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "claim_id") -> DataFrame:
@@ -44,10 +49,10 @@ def stratified_split(df: DataFrame, label: str, train_fraction: float = 0.8, see
     Rows are ranked inside their class by (hash, key) with the distributed
     scan: a class may hold most of the rows without landing in one task.
     """
-    h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    h = df.withColumn("_h", seeded_hash(key, seed))
     ranked = ordered_scan(h, [label], [("_h", True), (key, True)], row_number="_rk")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_class_n"))
-    ranked = join_on_keys(ranked, sized_broadcast(sizes, 100_000), [label], "inner")
+    ranked = join_on_keys(ranked, sizes, [label], "inner")
     cut = F.round(F.col("_class_n").cast("double") * F.lit(train_fraction))
     return ranked.withColumn(
         "split", F.when(F.col("_rk") <= cut, "train").otherwise("test")
@@ -65,5 +70,5 @@ def split_balance(df: DataFrame, label: str, split_col: str = "split") -> DataFr
 def hash_sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "claim_id") -> DataFrame:
     """Exactly min(n, rows) rows without replacement: the n smallest seeded
     hashes (a top-k, evaluated as per-partition top-n then a merge)."""
-    return (df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    return (df.withColumn("_h", seeded_hash(key, seed))
             .orderBy("_h", key).limit(n).drop("_h"))

@@ -100,18 +100,19 @@ def ordered_scan(
     tagged = (
         df.repartitionByRange(n, *_sort_cols(spec))
         .withColumn(PID, F.spark_partition_id())
-        .repartition(n, PID)
+        .repartitionById(n, PID)  # one range a task: hashing the ids would put several into one
     )
     w_grp = Window.partitionBy(PID, *keys).orderBy(*_order_cols(spec))
     w_run = w_grp.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_part = Window.partitionBy(PID).orderBy(*_sort_cols(spec))
-    local_cols = {
-        "_rn": F.row_number().over(w_grp).cast("bigint"),
-        "_prn": F.row_number().over(w_part),
-        "_pcnt": F.count(F.lit(1)).over(Window.partitionBy(PID)),
-        "_ldense": F.dense_rank().over(
-            Window.partitionBy(PID, *keys).orderBy(*_order_cols(spec)[:len(dcols)])).cast("bigint"),
-    }
+    need_rn = bool(spec.row_number or spec.lags)
+    # a range partition's first and last rows, found without buffering it
+    local_cols = {"_first": F.lag(F.lit(1)).over(w_part).isNull(), "_last": F.lead(F.lit(1)).over(w_part).isNull()}
+    if need_rn:
+        local_cols["_rn"] = F.row_number().over(w_grp).cast("bigint")
+    if spec.dense_rank:
+        local_cols["_ldense"] = F.dense_rank().over(
+            Window.partitionBy(PID, *keys).orderBy(*_order_cols(spec)[:len(dcols)])).cast("bigint")
     for o, src in spec.running_sums.items():
         local_cols[o] = F.sum(F.col(src)).over(w_run).cast(sum_types[o])
     for o, src in spec.lags.items():
@@ -125,11 +126,11 @@ def ordered_scan(
 
     local = materialize(tagged.withColumns(local_cols), "scan")
 
-    first = F.col("_prn") == 1
-    last = F.col("_prn") == F.col("_pcnt")
+    first, last = F.col("_first"), F.col("_last")
     lag_src = list(dict.fromkeys(spec.lags.values()))
-    aggs = [F.max(F.when(last, F.col("_rn"))).alias("_last_rn"),
-            F.max(F.when(last, F.col("_ldense"))).alias("_last_dense")]
+    null = F.lit(None).cast("bigint")
+    aggs = [F.max(F.when(last, F.col("_rn") if need_rn else null)).alias("_last_rn"),
+            F.max(F.when(last, F.col("_ldense") if spec.dense_rank else null)).alias("_last_dense")]
     for c in keys:
         aggs += [F.max(F.when(first, F.col(c))).alias("_fk_" + c), F.max(F.when(last, F.col(c))).alias("_lk_" + c)]
     for c in orders:

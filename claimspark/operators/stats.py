@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimspark.functions import mean
-from claimspark.operators.joins import join_on_keys, sized_broadcast
+from claimspark.operators.joins import join_on_keys
 from claimspark.operators.scan import ordered_scan
+from claimspark.session import materialize
 
 CORRELATION_COLUMNS = ["readmission_30day", "age", "length_of_stay", "claim_amount",
                        "paid_amount", "comorbidity_count", "denial_flag"]
@@ -95,9 +96,9 @@ def exact_percentiles(df: DataFrame, column: str, probs: list[float], by: list[s
     counts = (df.where(v.isNotNull()).groupBy(*by, v.alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
     scanned = ordered_scan(counts, by, [("_v", True)], running_sums={"_cum": "_c"})
-    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    # a group's total is its last running count, read from the landed scan
+    totals = scanned.groupBy(*by).agg(F.max("_cum").alias("_n"))
     if by:
-        totals = sized_broadcast(totals, 1_000_000)
         scanned = join_on_keys(scanned, totals, by, "inner")
     else:
         n = totals.first()["_n"]    # one scalar
@@ -147,8 +148,8 @@ def box_stats(df: DataFrame, column: str = "claim_amount", by: list[str] | None
         return df.sparkSession.createDataFrame(
             [(*vals, lo, hi)],
             "q1 double, median double, q3 double, iqr double, whisker_low double, whisker_high double")
-    qs = sized_broadcast(q, 1_000_000)
-    j = join_on_keys(df.select(*by, x.alias("_x")), qs, by, "inner")
+    q = materialize(q, "quartiles")  # one row a group, read three times
+    j = join_on_keys(df.select(*by, x.alias("_x")), q, by, "inner")
     lo_fence = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(whisker) * F.col("iqr")
     w = j.groupBy(*by).agg(

@@ -23,7 +23,7 @@ patients AS (
   SELECT CAST(c.c_custkey AS VARCHAR) AS patient_id,
          CAST(18 + c.c_custkey % 78 AS INTEGER) AS age,
          CASE WHEN c.c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
-         n.n_name AS state,
+         upper(substr(n.n_name, 1, 2)) AS state,
          ({_list(INSURANCE_TYPES)})[CAST(c.c_custkey % 7 AS INTEGER) + 1] AS insurance_type,
          CAST((c.c_custkey * 7) % 11 AS INTEGER) AS comorbidity_count
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey

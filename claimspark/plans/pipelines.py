@@ -20,7 +20,7 @@ def enriched_claims(claims: DataFrame, patients: DataFrame, with_patient_totals:
     rolling window read that copy.
     """
     df = add_lag_features(claims)
-    df = join_claims_patients(df, patients)
+    df = join_claims_patients(df, patients, check_key=True)
     return add_rolling_claim_cost(df, with_patient_totals=with_patient_totals)
 
 

@@ -482,10 +482,39 @@ def q_dq_outliers(spark, sf):
     return quality.outliers(_claims(spark, sf), 3.0, _NUMERIC_CLAIM_COLS)
 
 
-@register("dq_schema")
+# Values that the declared schema cannot hold, by column: the rows and the value
+_UNPARSABLE = {
+    "admit_date": ("length_of_stay = 3 AND age < 40", "'not-a-date'"),
+    "claim_amount": ("length_of_stay = 5 AND age > 80", "'12,5'"),
+    "denial_flag": ("comorbidity_count = 4 AND age > 70", "'x'"),
+}
+
+
+def _raw_sql(columns) -> list[str]:
+    """Claims as text, with the unparsable values in their rows."""
+    out = []
+    for c in columns:
+        text = f"CAST({c} AS STRING)"
+        out.append(f"CASE WHEN {_UNPARSABLE[c][0]} THEN {_UNPARSABLE[c][1]} ELSE {text} END AS {c}" if c in _UNPARSABLE
+                   else f"{text} AS {c}")
+    return out
+
+
+def _raw_claims(spark, sf):
+    return _claims(spark, sf).selectExpr(*_raw_sql(_CLAIM_COLS))
+
+
+_ANY_UNPARSABLE = " OR ".join(f"({cond})" for cond, _ in _UNPARSABLE.values())
+_CONFORMITY_SQL = oracle("\nUNION ALL ".join(
+    f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS expected_type, COUNT({f.name}) AS n_values, "
+    + (f"COUNT(*) FILTER (WHERE {_UNPARSABLE[f.name][0]})" if f.name in _UNPARSABLE else "CAST(0 AS BIGINT)")
+    + " AS n_nonconforming, CAST(0 AS BIGINT) AS n_missing FROM claims" for f in CLAIMS_SCHEMA.fields))
+
+
+@register("dq_schema", _CONFORMITY_SQL)
 def q_dq_schema(spark, sf):
-    """Declared claims schema versus the derived frame's actual schema."""
-    return quality.schema_check(_claims(spark, sf), CLAIMS_SCHEMA)
+    """Values of the raw claims that the declared schema cannot hold, per column."""
+    return quality.conformity(_raw_claims(spark, sf), CLAIMS_SCHEMA)
 
 
 def _rules_sql() -> str:
@@ -494,11 +523,35 @@ def _rules_sql() -> str:
         for name, cond in quality.CLAIM_RULES.items()) + ")"
 
 
+# Claims that break one rule each, by column: the rows and the value
+_BROKEN = {
+    "claim_id": ("age = 70 AND length_of_stay = 0", "NULL"),
+    "patient_id": ("age = 71 AND length_of_stay = 1", "NULL"),
+    "claim_amount": ("length_of_stay = 1 AND age < 30", "0"),
+    "paid_amount": ("length_of_stay = 2 AND age < 30", "-1"),
+    "length_of_stay": ("age = 50", "400"),
+    "age": ("comorbidity_count = 5 AND length_of_stay = 8", "17"),
+    "gender": ("length_of_stay = 4 AND age > 80", "'X'"),
+    "comorbidity_count": ("age = 60", "16"),
+    "state": ("length_of_stay = 6 AND age > 70", "'Azores'"),
+    "diagnosis_code": ("length_of_stay = 7 AND age > 75", "NULL"),
+    "procedure_code": ("length_of_stay = 7 AND age < 25", "NULL"),
+    "facility_type": ("length_of_stay = 9 AND age > 85", "NULL"),
+    "payer_type": ("length_of_stay = 10 AND age > 85", "NULL"),
+    "insurance_type": ("length_of_stay = 10 AND age < 22", "NULL"),
+}
+_BROKEN_COLS = [f"CASE WHEN {_BROKEN[c][0]} THEN {_BROKEN[c][1]} ELSE {c} END AS {c}" if c in _BROKEN else c
+                for c in _CLAIM_COLS]
+
+
 @register("validate_claims", oracle(f"""
-SELECT claim_id, {_rules_sql()} AS failed_rules, {_rules_sql()} = '' AS is_valid FROM claims"""))
+SELECT claim_id, {_rules_sql()} AS failed_rules, {_rules_sql()} = '' AS is_valid FROM broken""",
+                                    ctes=f"broken AS (SELECT {', '.join(_BROKEN_COLS)} FROM claims)"))
 def q_validate(spark, sf):
-    """Accepted-range rules per claim: failed rule names and a validity flag."""
-    return quality.validate(_claims(spark, sf)).select("claim_id", "failed_rules", "is_valid")
+    """Accepted-range rules per claim: failed rule names and a validity flag; the
+    claims are given rows that break each rule."""
+    broken = _claims(spark, sf).selectExpr(*_BROKEN_COLS)
+    return quality.validate(broken).select("claim_id", "failed_rules", "is_valid")
 
 
 _AS_DOUBLE_SQL = oracle("SELECT " + ", ".join(
@@ -524,8 +577,32 @@ def q_ingest_all(spark, sf):
     c_csv, p_csv = shared_path(spark, "claims-csv"), shared_path(spark, "patients-csv")
     files.write_csv(ad.claims(spark, sf), c_csv)
     files.write_csv(ad.patients(spark, sf), p_csv)
-    claims_pq, _patients_pq, _report = files.ingest(spark, c_csv, p_csv)
-    return claims_pq
+    return files.ingest(spark, c_csv, p_csv).claims
+
+
+@register("ingest_report", oracle(f"""
+SELECT 'claims' AS table_name, COUNT(*) AS rows_read, COUNT(*) FILTER (WHERE NOT ({_ANY_UNPARSABLE})) AS rows_good,
+       COUNT(*) FILTER (WHERE {_ANY_UNPARSABLE}) AS rows_bad FROM claims
+UNION ALL
+SELECT 'patients', COUNT(*), COUNT(*) FILTER (WHERE age % 10 <> 3), COUNT(*) FILTER (WHERE age % 10 = 3) FROM patients"""))
+def q_ingest_report(spark, sf):
+    """Lines read, parsed and quarantined when both CSV files hold values that the
+    schema cannot hold."""
+    from claimspark.sources import adapter as ad
+
+    c_csv, p_csv = shared_path(spark, "claims-csv"), shared_path(spark, "patients-csv")
+    files.write_csv(_raw_claims(spark, sf), c_csv)
+    patients = ad.patients(spark, sf)
+    files.write_csv(patients.withColumn("age", F.when(F.col("age") % 10 == 3, "old").otherwise(F.col("age").cast("string"))), p_csv)
+    return files.ingest(spark, c_csv, p_csv).report
+
+
+@register("incomplete_rows", oracle("SELECT claim_id FROM claims WHERE CAST(patient_id AS BIGINT) % 2 = 1"))
+def q_incomplete_rows(spark, sf):
+    """Model inputs that cannot be encoded when half the patients are unknown."""
+    claims, patients = _tables(spark, sf)
+    table = pipelines.feature_table(claims, patients.where("CAST(patient_id AS BIGINT) % 2 = 0"))
+    return feat.incomplete_rows(feat.model_inputs(table)).select("claim_id")
 
 
 @register("parquet_roundtrip", oracle("SELECT * FROM claims"))
@@ -764,26 +841,57 @@ def q_risk_tiers(spark, sf):
 from claimspark.operators import sampling  # noqa: E402
 
 
-@register("hash_sample")
+_BUCKET = "CAST('0x' || substr(md5(claim_id || ':42'), 1, 13) AS BIGINT) % 10000"
+_SPLIT = f"CASE WHEN {_BUCKET} < 8000 THEN 'train' ELSE 'test' END"
+
+
+@register("hash_sample", oracle(f"SELECT * FROM claims WHERE {_BUCKET} < 500"))
 def q_hash_sample(spark, sf):
     """About 5 % of claims chosen by a seeded hash of claim_id (sampling operator)."""
     return sampling.hash_sample(_claims(spark, sf), 0.05, 42)
 
 
-@register("train_test_split")
+@register("train_test_split", oracle(f"SELECT claim_id, readmission_30day, {_SPLIT} AS split FROM claims"))
 def q_split(spark, sf):
     """80/20 hash split of claims; returns claim_id, label and split."""
     return sampling.with_split(_claims(spark, sf)).select("claim_id", "readmission_30day", "split")
 
 
-@register("stratified_split")
+@register("stratified_split", oracle("""
+SELECT claim_id, readmission_30day, CASE WHEN rk <= ROUND(n * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT claim_id, readmission_30day, COUNT(*) OVER (PARTITION BY readmission_30day) AS n,
+             ROW_NUMBER() OVER (PARTITION BY readmission_30day ORDER BY md5(claim_id || ':42'), claim_id) AS rk FROM claims)"""))
 def q_stratified(spark, sf):
     """Per-class exact 80/20 split ranked by seeded hash (distributed scan)."""
     return sampling.stratified_split(_claims(spark, sf), "readmission_30day").select(
         "claim_id", "readmission_30day", "split")
 
 
-@register("split_balance")
+@register("sample_n", oracle("SELECT * FROM claims ORDER BY md5(claim_id || ':42'), claim_id LIMIT 100"))
+def q_sample_n(spark, sf):
+    """Exactly 100 claims without replacement (sampling operator)."""
+    return sampling.hash_sample_n(_claims(spark, sf), 100)
+
+
+@register("rates_train_only", oracle(f"""
+SELECT claim_id, provider_denial_rate, provider_claim_volume, payer_approval_rate
+FROM s LEFT JOIN pv ON s.provider_id = pv.provider_id LEFT JOIN py ON s.payer_type = py.payer_type WHERE split = 'test'""", ctes=f"""
+s AS (SELECT *, {_SPLIT} AS split FROM claims),
+pv AS (SELECT provider_id, {_mean('denial_flag')} AS provider_denial_rate, COUNT(claim_id) AS provider_claim_volume
+       FROM s WHERE split = 'train' GROUP BY provider_id),
+py AS (SELECT payer_type, CAST(1.0 AS DOUBLE) - {_mean('denial_flag')} AS payer_approval_rate
+       FROM s WHERE split = 'train' GROUP BY payer_type)"""))
+def q_rates_train_only(spark, sf):
+    """Provider and payer rates fitted on the training split, applied to the test split."""
+    rows = sampling.with_split(_claims(spark, sf))
+    fitted = rates.fit_rates(rows.where("split = 'train'"))
+    return rates.apply_rates(rows.where("split = 'test'"), fitted).select(
+        "claim_id", "provider_denial_rate", "provider_claim_volume", "payer_approval_rate")
+
+
+@register("split_balance", oracle(f"""
+SELECT {_SPLIT} AS split, COUNT(*) AS rows, CAST(SUM(readmission_30day) AS DOUBLE) / COUNT(readmission_30day) AS positive_rate
+FROM claims GROUP BY 1"""))
 def q_split_balance(spark, sf):
     """Rows and positive rate per split of the hash split."""
     return sampling.split_balance(sampling.with_split(_claims(spark, sf)), "readmission_30day")
@@ -938,12 +1046,12 @@ def _scoring_sql() -> str:
         "cost_ratio_to_patient_avg": "CASE WHEN COALESCE(pt.patient_avg_claim, CAST(claim_amount AS DOUBLE)) > 0 "
                                      "THEN CAST(claim_amount AS DOUBLE) / COALESCE(pt.patient_avg_claim, "
                                      "CAST(claim_amount AS DOUBLE)) ELSE 1.0 END",
-        "rolling_cost_90d": "CAST(claim_amount AS DOUBLE)",
-        "claim_count_90d": "CAST(1 AS BIGINT)",
-        "days_since_last_claim": "CAST(-1 AS INTEGER)",
-        "prev_denial_flag": "CAST(0 AS INTEGER)",
-        "prev_claim_amount": "CAST(0.0 AS DOUBLE)",
-        "claim_sequence": "CAST(1 AS INTEGER)",
+        "rolling_cost_90d": "CAST(t.rolling AS DOUBLE)",
+        "claim_count_90d": "CAST(t.near AS BIGINT)",
+        "days_since_last_claim": "CAST(COALESCE(t.days, -1) AS INTEGER)",
+        "prev_denial_flag": "CAST(COALESCE(t.denied, 0) AS INTEGER)",
+        "prev_claim_amount": "CAST(COALESCE(t.amount, 0.0) AS DOUBLE)",
+        "claim_sequence": "CAST(t.seq AS INTEGER)",
     }
     sel = []
     for c in NUMERIC_FEATURES:
@@ -953,7 +1061,13 @@ SELECT f.claim_id, {', '.join(sel)}, {', '.join('f.' + c for c in CATEGORICAL_FE
 FROM f
 LEFT JOIN py ON f.payer_type = py.payer_type
 LEFT JOIN pv ON f.provider_id = pv.provider_id
-LEFT JOIN pt ON f.patient_id = pt.patient_id""", ctes=f"""
+LEFT JOIN pt ON f.patient_id = pt.patient_id
+JOIN t ON f.claim_id = t.claim_id""", ctes=f"""
+t AS (SELECT claim_id, SUM(claim_amount) OVER near AS rolling, COUNT(claim_id) OVER near AS near,
+             date_diff('day', LAG(admit_date) OVER own, admit_date) AS days, LAG(denial_flag) OVER own AS denied,
+             LAG(claim_amount) OVER own AS amount, ROW_NUMBER() OVER own AS seq FROM claims
+      WINDOW own AS (PARTITION BY patient_id ORDER BY admit_date, claim_id),
+             near AS (PARTITION BY patient_id ORDER BY admit_date RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW)),
 hist AS (SELECT * FROM claims WHERE admit_date < DATE '{_HISTORY_CUT}'),
 py AS (SELECT payer_type, CAST(1.0 AS DOUBLE) - {_mean('denial_flag')} AS payer_approval_rate FROM hist GROUP BY payer_type),
 pv AS (SELECT provider_id, {_mean('denial_flag')} AS provider_denial_rate,
@@ -965,20 +1079,19 @@ f AS (SELECT *, {_row_features_sql()} FROM claims WHERE admit_date >= DATE '{_HI
 
 @register("scoring_inputs", _scoring_sql())
 def q_scoring_inputs(spark, sf):
-    """Model inputs for claims admitted from 1998 on: history (earlier claims)
-    per provider/payer/patient when known, cold-start defaults otherwise."""
+    """Model inputs for claims admitted from 1998 on: timeline and rates from the
+    earlier claims when known, cold-start defaults otherwise."""
     from claimspark.operators import scoring
 
     c = _claims(spark, sf)
-    hist = scoring.fit_history(c.where(F.col("admit_date") < F.lit(_HISTORY_CUT).cast("date")))
+    past = c.where(F.col("admit_date") < F.lit(_HISTORY_CUT).cast("date"))
     new = c.where(F.col("admit_date") >= F.lit(_HISTORY_CUT).cast("date"))
-    return scoring.scoring_inputs(new, hist)
+    return scoring.scoring_inputs(new, scoring.fit_history(past), past)
 
 
-@register("score_claims")
-def q_score_claims(spark, sf):
-    """Batch scoring of every claim with the saved LR pipeline: validation,
-    features with history defaults, probability, risk score and tier."""
+def _score_new(spark, sf):
+    """Claims from 1998 on, scored by the saved LR pipeline: validation, timeline
+    and rates from the earlier claims, probability, risk score and tier."""
     from claimspark.operators import scoring
     from claimspark.sources import results as R
     from pyspark.ml import PipelineModel
@@ -989,15 +1102,27 @@ def q_score_claims(spark, sf):
     loaded = R.load_model(path)
     pre, clf = PipelineModel(stages=loaded.stages[:-1]), loaded.stages[-1]
     c = _claims(spark, sf)
-    # the derived states are nation names, so relax only the 2-letter state rule here
-    from claimspark.operators.quality import CLAIM_RULES
-
-    rules = {k: v for k, v in CLAIM_RULES.items() if k != "state_two_letters"}
-    hist = scoring.fit_history(c)
-    scored, _rejected = scoring.score_claims(c, pre, clf, hist, rules)
+    past = c.where(F.col("admit_date") < F.lit(_HISTORY_CUT).cast("date"))
+    new = c.where(F.col("admit_date") >= F.lit(_HISTORY_CUT).cast("date"))
+    scored, _rejected = scoring.score_claims(new, pre, clf, scoring.fit_history(past), past=past)
     return scored
 
 
+@register("score_claims")
+def q_score_claims(spark, sf):
+    """Batch scoring of new claims: probability, risk score, tier, summary."""
+    return _score_new(spark, sf)
+
+
+@register("scored_summary", oracle(f"""
+SELECT claim_id, age, diagnosis_code AS diagnosis, facility_type, claim_amount, comorbidity_count
+FROM claims WHERE admit_date >= DATE '{_HISTORY_CUT}' AND {_rules_sql()} = ''"""))
+def q_scored_summary(spark, sf):
+    """The input summary of every scored claim."""
+    return _score_new(spark, sf).select("claim_id", "input_summary.*") \
+        .withColumn("claim_amount", F.col("claim_amount").cast("decimal(18,2)"))
+
+
 def _rf_phis(spark, sf):
     """TreeSHAP of the tuned random forest's P(readmit) on every test row."""
     from claimspark.operators import treeshap
@@ -1045,9 +1170,8 @@ def q_stream_score(spark, sf):
     src = shared_path(spark, "incoming-claims")
     claims.write.parquet(src)
     out = shared_path(spark, "streamed-scores")
-    rules = {k: v for k, v in quality.CLAIM_RULES.items() if k != "state_two_letters"}
     q = start_scoring(claim_stream(spark, src, claims.schema), PipelineModel(stages=p.preprocessing.stages),
                       _model(spark, sf, "logistic_regression"), scoring.fit_history(claims), out,
-                      rules=rules, available_now=True)
+                      available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch")

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from claimspark.operators import models as M
-from claimspark.operators.features import model_inputs
+from claimspark.operators.features import complete_rows, incomplete_rows, model_inputs
 from claimspark.operators.sampling import with_split
 from claimspark.session import shared_path
 
 
+#: Partitions of the training rows. MLlib's tree learners draw their samples by
+#: partition, so this is part of the model: it is fixed and stored with the results.
+TRAIN_PARTITIONS = 32
+
+
 @dataclass
 class Prepared:
     train: DataFrame
@@ -24,31 +29,31 @@ class Prepared:
     ptrain: DataFrame
     ptest: DataFrame
     names: list[str]
+    incomplete: DataFrame
+    train_partitions: int
     models: dict = field(default_factory=dict)
 
 
 def prepare(features: DataFrame, train_fraction: float = 0.8, seed: int = 42,
-            landing: str | None = None) -> Prepared:
-    """Fill, weight and hash-split the feature table; land it as Parquet in
-    the shared folder (cuts lineage; survives executor loss); fit the
+            landing: str | None = None, train_partitions: int = TRAIN_PARTITIONS) -> Prepared:
+    """Fill and hash-split the feature table; land it as Parquet in the shared
+    folder (cuts lineage; survives executor loss); split off the rows that
+    cannot be encoded; weight the classes from the landed labels; fit the
     preprocessing on the training split only."""
     spark = features.sparkSession
-    df = M.add_class_weights(with_split(model_inputs(features), train_fraction, seed))
     landing = landing or shared_path(spark, "model-inputs")
-    df.write.mode("overwrite").partitionBy("split").parquet(landing)
+    with_split(model_inputs(features), train_fraction, seed) \
+        .write.mode("overwrite").partitionBy("split").parquet(landing)
     landed = spark.read.parquet(landing)
-    train, test = landed.where("split = 'train'"), landed.where("split = 'test'")
-    # Iterative learners scan the training set many times: give them at least
-    # one partition per core (hash on the key keeps the layout deterministic).
-    target = spark.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < target:
-        train = train.repartition(target, "claim_id")
-    if test.rdd.getNumPartitions() < target:
-        test = test.repartition(target, "claim_id")
+    df = M.add_class_weights(complete_rows(landed))
+    # By key, in order and in a fixed number: the fitted trees do not depend on the cluster.
+    train = df.where("split = 'train'").repartition(train_partitions, "claim_id").sortWithinPartitions("claim_id")
+    test = df.where("split = 'test'").repartition(train_partitions, "claim_id")
     pre = M.fit_preprocessing(train)
     ptrain = pre.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     ptest = pre.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(train, test, pre, ptrain, ptest, M.feature_names(ptrain, "raw_features"))
+    return Prepared(train, test, pre, ptrain, ptest, M.feature_names(ptrain, "raw_features"),
+                    incomplete_rows(landed), train_partitions)
 
 
 def fit(p: Prepared, kind: str, rf_grid: dict | None = None, gbt_params: dict | None = None):
@@ -90,6 +95,9 @@ def run_training(features: DataFrame, kinds=("logistic_regression", "random_fore
         if k == "random_forest":
             params[k] = M.best_params(p.models[k])
     out_dir = out_dir or shared_path(features.sparkSession, "model-results")
+    for k in kinds:
+        params.setdefault(k, {}).update(train_partitions=p.train_partitions, incomplete_rows=p.incomplete.count())
+    p.incomplete.write.mode("overwrite").parquet(f"{out_dir}/incomplete_rows")
     R.save_results(out_dir, metrics, params, imps)
     auc_pr = {r["model"]: r["value"] for r in metrics.where("metric = 'auc_pr'").collect()}
     winner = max(kinds, key=lambda k: (auc_pr.get(k, float("-inf")), -kinds.index(k)))

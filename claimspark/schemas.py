@@ -66,11 +66,9 @@ PROCEDURE_CODES = [
 
 # --- Fixed values: categorical domains ----------------------------------------
 FACILITY_TYPES = ["Inpatient", "Outpatient", "Emergency", "Ambulatory", "SNF"]
-PAYER_TYPES = ["Medicare", "Medicaid", "Commercial", "Self-Pay"]
 INSURANCE_TYPES = [
     "HMO", "PPO", "EPO", "POS", "HDHP", "Medicare Advantage", "Medicaid Managed Care",
 ]
-GENDERS = ["M", "F"]
 
 # --- Fixed values: diagnosis -> risk tier (1 = low .. 5 = high) ---------------
 DIAGNOSIS_RISK = {

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,21 +28,22 @@ RUNTIME_CONFS = {
 def build_session(
     app_name: str = "claimspark",
     master: str | None = None,
-    shuffle_partitions: int = 8,
-    driver_memory: str = "8g",
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
     enable_hive: bool = False,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with AQE, Arrow and a quiet log."""
+    """Create (or reuse) a session with AQE, Arrow and a quiet log.
+
+    Partition counts and memory are set only if given (scripts, tests); a job
+    on a cluster takes them from its submit command."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     confs = {
         **RUNTIME_CONFS,
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.driver.memory": driver_memory,
-        "spark.driver.maxResultSize": "2g",
-        "spark.memory.fraction": "0.8",
+        **({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}),
+        **({"spark.driver.memory": driver_memory} if driver_memory else {}),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
@@ -69,8 +71,9 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory, setting one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; a local
-    temporary folder is only created when nothing is configured (tests).
+    On a cluster ``spark.checkpoint.dir`` names a shared folder, and its absence
+    is an error: every executor would write to its own disk. A temporary folder
+    is made only for a ``local`` master (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="claimspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -89,10 +94,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "claimspark", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def landings_released(spark: SparkSession):
+    """Delete what ``materialize`` lands inside this scope when it ends. Frames
+    that read those landings must have been written or used up by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage (a lost executor re-reads files instead of
     recomputing joins and windows) and gives later branches pruned scans."""
     path = shared_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -6,25 +6,7 @@ from pyspark.sql import functions as F
 from claimspark.operators import features as feat
 from claimspark.operators import rates, timeline
 from claimspark.plans import pipelines
-from fixtures import TEN, claims_df, patients_df
-
-GOLD = {  # id: rolling, n90, days, prev_den, prev_amt, seq, risk, los_ratio, cidx, bucket, prate, pvol, pay, pavg, pn, ratio
-    "CLM001": (15000, 1, None, None, None, 1, 5, 0.5, 4.5, "65-74", 0, 4, 1.0, 11500, 2, 1.3043),
-    "CLM002": (23000, 2, 64, 0, 15000, 2, 5, 0.3333, 4.5, "65-74", 0, 4, 1.0, 11500, 2, 0.6957),
-    "CLM003": (500, 1, None, None, None, 1, 3, 0.3333, 2.5, "55-64", 1, 2, 0.3333, 425, 2, 1.1765),
-    "CLM004": (850, 2, 79, 1, 500, 2, 2, 0, 2.0, "55-64", 1, 2, 0.3333, 425, 2, 0.8235),
-    "CLM005": (22000, 1, None, None, None, 1, 4, 1.0, 4.5, "65-74", 0, 2, 1.0, 13500, 2, 1.6296),
-    "CLM006": (27000, 2, 19, 0, 22000, 2, 3, 0.4, 4.0, "65-74", 0, 2, 1.0, 13500, 2, 0.3704),
-    "CLM007": (200, 1, None, None, None, 1, 1, 0, 0.5, "30-44", 1, 1, 0, 200, 1, 1.0),
-    "CLM008": (25000, 1, None, None, None, 1, 4, 1.25, 5.0, "75+", 0, 4, 1.0, 18500, 2, 1.3514),
-    "CLM009": (37000, 2, 17, 0, 25000, 2, 4, 0.5, 5.0, "75+", 0, 4, 1.0, 18500, 2, 0.6486),
-    "CLM010": (800, 1, None, None, None, 1, 1, 0, 0.5, "18-29", 0, 1, 0.3333, 800, 1, 1.0),
-}
-COLS = ["rolling_cost_90d", "claim_count_90d", "days_since_last_claim", "prev_denial_flag", "prev_claim_amount",
-        "claim_sequence", "diagnosis_risk_score", "los_vs_expected_ratio", "comorbidity_index", "age_bucket",
-        "provider_denial_rate", "provider_claim_volume", "payer_approval_rate", "patient_avg_claim",
-        "patient_total_claims", "cost_ratio_to_patient_avg"]
-
+from fixtures import ROWS, claims_df, expected_features, patients_df
 
 @pytest.fixture(scope="module")
 def table(spark):
@@ -33,15 +15,18 @@ def table(spark):
 
 
 def test_feature_goldens(table):
-    assert set(table) == set(GOLD)
-    for cid, gold in GOLD.items():
-        row = table[cid]
-        for c, g in zip(COLS, gold):
-            v = row[c]
+    want = expected_features()
+    assert set(table) == set(want)
+    for cid, gold in want.items():
+        for c, g in gold.items():
+            v = table[cid][c]
             if g is None or isinstance(g, str):
                 assert v == g, (cid, c, v, g)
             else:
-                assert v == pytest.approx(g, abs=1e-4), (cid, c, v, g)
+                assert v == pytest.approx(g, abs=1e-9), (cid, c, v, g)
+    # the behaviours the rows are there for
+    assert want["many-2"]["claim_count_90d"] == 2 and want["many-3"]["claim_count_90d"] == 3
+    assert want["many-4"]["rolling_cost_90d"] == 905 and want["many-5"]["days_since_last_claim"] == 4
 
 
 def test_feature_table_adds_columns(spark, table):
@@ -79,12 +64,12 @@ def test_lookup_defaults_and_nulls(spark):
 
 
 def test_orphan_claim_keeps_row(spark):
-    rows = TEN + [("CLM011", "P999", "2023-01-01", "I10", "PRV001", "Medicare", 1.0, 0, 0, 1, 40, 1, "M", "Inpatient")]
+    rows = ROWS + [("lost-1", "nobody", "2021-01-01", "I10", "east", "Medicare", 1.0, 0, 0, 1, 40, 1, "M", "Inpatient")]
     from claimspark.operators.enrich import join_claims_patients
 
-    out = join_claims_patients(claims_df(spark, rows), patients_df(spark, TEN))
-    orphan = out.where("claim_id = 'CLM011'").first()
-    assert out.count() == 11 and orphan["age"] is None and out.columns[0] == "patient_id"
+    out = join_claims_patients(claims_df(spark, rows), patients_df(spark, ROWS))
+    orphan = out.where("claim_id = 'lost-1'").first()
+    assert out.count() == len(rows) and orphan["age"] is None and out.columns[0] == "patient_id"
 
 
 def test_provider_ranking_thresholds(spark):
@@ -92,11 +77,10 @@ def test_provider_ranking_thresholds(spark):
     assert rates.rank_providers_by_denial_rate(df).count() == 0
     got = {r["provider_id"]: (r["denial_rate"], r["denial_rank"])
            for r in rates.rank_providers_by_denial_rate(df, min_claims=1).collect()}
-    assert got == {"PRV002": (1.0, 1), "PRV004": (1.0, 1), "PRV001": (0.0, 2), "PRV003": (0.0, 2),
-                   "PRV005": (0.0, 2)}
+    assert got == {"north": (1.0, 1), "west": (1.0, 1), "east": (0.0, 2), "south": (0.0, 2)}
 
 
 def test_fill_contract(spark):
     df = feat.model_inputs(pipelines.feature_table(claims_df(spark), patients_df(spark)))
     assert df.where(F.col("days_since_last_claim").isNull()).count() == 0
-    assert df.where("claim_id = 'CLM001'").first()["days_since_last_claim"] == -1
+    assert df.where("claim_id = 'many-1'").first()["days_since_last_claim"] == -1

@@ -48,11 +48,8 @@ def test_pipeline_roundtrip_and_scoring(spark, prepared, tmp_path):
     R.save_model(PipelineModel(stages=[*prepared.preprocessing.stages, lr]), path)
     loaded = R.load_model(path)
     claims = adapter.claims(spark, SF)
-    from claimspark.operators.quality import CLAIM_RULES
-
-    rules = {k: v for k, v in CLAIM_RULES.items() if k != "state_two_letters"}
     scored, rejected = scoring.score_claims(claims, PipelineModel(stages=loaded.stages[:-1]),
-                                            loaded.stages[-1], scoring.fit_history(claims), rules)
+                                            loaded.stages[-1], scoring.fit_history(claims))
     assert scored.count() == claims.count() and rejected.count() == 0
     tiers = {r["risk_tier"] for r in scored.select("risk_tier").distinct().collect()}
     assert tiers <= {"High", "Medium", "Low"}

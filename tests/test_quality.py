@@ -42,7 +42,7 @@ def test_quarantine_is_independent_of_projection(spark, csv_path):
 def test_profile_single_pass(spark):
     df = claims_df(spark)
     got = {r["column_name"]: (r["total_rows"], r["null_count"]) for r in quality.profile(df).collect()}
-    assert len(got) == 19 and got["claim_id"] == (10, 0)
+    assert len(got) == 19 and got["claim_id"] == (11, 0)
 
 
 def test_outliers_both_tails(spark):
