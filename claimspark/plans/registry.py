@@ -701,15 +701,19 @@ def q_grid(spark, sf):
 # Evaluation on a deterministic score (L1-L11, N3)
 # --------------------------------------------------------------------------
 def _scored(spark, sf) -> DataFrame:
-    """label = readmission; score = comorbidity_index / 10 (model-free, exact)."""
-    df = feat.add_comorbidity_index(feat.add_diagnosis_risk_score(_claims(spark, sf)))
+    """label = readmission; score = a ratio of whole numbers with tens of thousands
+    of values (model-free, exact): comorbidities, diagnosis risk and cents."""
+    df = feat.add_diagnosis_risk_score(_claims(spark, sf))
+    whole = (F.col("comorbidity_count") + F.col("diagnosis_risk_score")) * 5000 \
+        + (F.col("claim_amount") * 100).cast("bigint") % 1000
     return df.select("claim_id", F.col("readmission_30day").alias("label"),
-                     (F.col("comorbidity_index") / F.lit(10.0)).alias("score"))
+                     (whole.cast("double") / F.lit(76003.0)).alias("score"))
 
 
 _SCORED_CTES = f"""
 scored AS (SELECT claim_id, readmission_30day AS label,
-                  (comorbidity_count * CAST(0.5 AS DOUBLE) + {_risk_sql()} * CAST(0.5 AS DOUBLE)) / CAST(10.0 AS DOUBLE) AS score
+                  CAST((comorbidity_count + {_risk_sql()}) * 5000 + CAST(claim_amount * 100 AS BIGINT) % 1000 AS DOUBLE)
+                  / CAST(76003.0 AS DOUBLE) AS score
            FROM claims),
 per AS (SELECT score AS threshold, COUNT(*) FILTER (WHERE label = 1) AS p,
                COUNT(*) FILTER (WHERE label = 0) AS n FROM scored GROUP BY score),
@@ -1017,7 +1021,8 @@ def q_explain_global(spark, sf):
     """Mean |phi| per feature over every test row, top 15."""
     from claimspark.operators import explain
 
-    return explain.global_importance(_lr_phis(spark, sf), 15)
+    p = _prepared(spark, sf)
+    return explain.global_linear(p.ptest, _model(spark, sf, "logistic_regression"), p.names, p.ptrain, 15)
 
 
 @register("explain_top_patient")
@@ -1027,8 +1032,10 @@ def q_explain_top(spark, sf):
     from claimspark.operators import models as M
 
     p = _prepared(spark, sf)
-    scored = M.score(_model(spark, sf, "logistic_regression"), p.ptest)
-    return explain.top_row_explanation(_lr_phis(spark, sf), scored, 12)
+    lr = _model(spark, sf, "logistic_regression")
+    scored = M.score(lr, p.ptest)
+    phis = explain.linear_attributions(explain.highest_row(p.ptest, scored), lr, p.names, p.ptrain)
+    return explain.top_row_explanation(phis, scored, 12)
 
 
 _HISTORY_CUT = "1998-01-01"

@@ -139,13 +139,24 @@ def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 _LANDED: dict = {}
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Paths, sizes and times of the source files, by Spark's own file system
+    layer: a changed source is landed again."""
+    out = []
+    for name in ("lineitem", "orders", "customer", "nation"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        s = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, s.getLen(), s.getModificationTime()))
+    return tuple(out)
+
+
 def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Claims and patients derived once and landed as Parquet in the shared
     folder (the ingestion step); later queries scan those files with column
     pruning and filter push-down instead of re-running the source joins."""
     from claimspark.session import shared_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _stamp(spark, sf_dir))
     if key not in _LANDED:
         base = shared_path(spark, "landed")
         claims(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/claims")
