@@ -34,18 +34,22 @@ SWEEPS, TOLERANCE = 40, 1e-4
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Topics by what a text holds, first match first.
+#: Topics by what a text holds, first match first: one of the literals, and then
+#: (tried only on texts with a literal) the pattern.
 TOPICS = [
-    ("legal", r"(?i)licen[sc]e|copyright|all rights reserved"),
-    ("contact", r"@[A-Za-z0-9-]+\.|\+[0-9][0-9 ().-]{7}"),
-    ("table", r"\S \| \S[^\n|]* \| "),
+    ("legal", ["icense", "icence", "opyright", "ights reserved"], None),
+    ("contact", ["@", "+"], r"@[A-Za-z0-9-]+\.|\+[0-9][0-9 ().-]{7}"),
+    ("table", [" | "], r"\S \| \S[^\n|]* \| "),
 ]
 
 
 def topic(text: Column) -> Column:
-    out = None
-    for name, pattern in TOPICS:
-        out = F.when(text.rlike(pattern), name) if out is None else out.when(text.rlike(pattern), name)
+    out = F
+    for name, literals, pattern in TOPICS:
+        holds = F.lit(False)
+        for x in literals:
+            holds = holds | text.contains(x)
+        out = out.when(holds & text.rlike(pattern) if pattern else holds, name)
     return out.otherwise("prose")
 
 
