@@ -8,11 +8,11 @@
 2. Banding. Documents with equal sets are one node from here on. Nodes with
    an equal band share a bucket.
 3. Verification. Each bucket's members are compared on full sets with its
-   leader, the member that shares most buckets (a near copy's original). What
-   is then still in different components of one bucket is compared pair by
-   pair, except where the exact distances to the leader prove (Jaccard
-   distance is a metric) that the pair is too far apart. So no bucket emits
-   all its pairs and none loses a link.
+   leader, the member that shares most buckets (a near copy's original).
+   Members of one bucket that are then still in different components can be
+   linked only if they share shingles outside the leader's set, or if both
+   are little more than parts of it (see ``rest_pairs``); only such pairs
+   are compared, so no bucket emits all its pairs and none loses a link.
 4. Union-find over the links, as parent pointers contracted by joins
    (large-star, small-star) with a written table after each round.
 
@@ -48,7 +48,11 @@ MEMBERS_PER_HEAD = 500
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _U = np.uint64
-_GAMMA = _U(0x9E3779B97F4A7C15)
+_GAMMA = 0x9E3779B97F4A7C15
+
+
+def _seed(k: int) -> np.uint64:
+    return _U(k * _GAMMA % 2**64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,7 +74,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     out, at = [], 0
     run = np.zeros(max(0, n - size + 1), _U)
     for k in range(size):
-        run = run * _U(0x100000001B3) + _mix(hashes[k:k + len(run)] + _U(k + 1) * _GAMMA)
+        run = run * _U(0x100000001B3) + _mix(hashes[k:k + len(run)] + _seed(k + 1))
     run = _mix(run + _U(size))
     for ws in words:
         if not ws:
@@ -93,7 +97,7 @@ def super_minhash(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndar
     elements = np.concatenate(sets) if len(sets) else np.zeros(0, _U)
     order = None  # each element's permutation so far, for those that go on
     for j in range(m):
-        draw = _mix(elements + _U(j + 1) * _GAMMA)
+        draw = _mix(elements + _seed(j + 1))
         k = j + (((draw & _U(0xFFFF)) * _U(m - j)) >> _U(16)).astype(np.int64)
         if j == 0:
             register = k
@@ -119,7 +123,7 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """One signed 64-bit key for each band."""
     rows = signatures.shape[1] // bands
     cut = signatures.reshape(len(signatures), bands, rows)
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=_U) * _GAMMA, cut.shape[:2])
+    key = np.broadcast_to(np.array([_seed(b + 1) for b in range(bands)]), cut.shape[:2])
     for r in range(rows):
         key = _mix(key * _U(0x100000001B3) + cut[:, :, r])
     return key.view(np.int64)
@@ -159,42 +163,100 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "digest binary, shingles binary").dropDuplicates(["digest"])
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """head, member, same (size of the intersection), distance (Jaccard) of distinct
-    ``pairs`` (head, member). A head's set is read once for some hundred of
-    its members, which stream past it; no task holds a group."""
+def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct ``pairs`` (head, member) as rows for one pass in order: a
+    head's set, then some hundred of its members' sets. No task holds a group."""
     heads = pairs.groupBy("head").agg(F.ceil(F.count("*") / MEMBERS_PER_HEAD).cast("int").alias("parts"))
     members = pairs.join(heads, "head").select(
         "head", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"),
         F.col("member").alias("digest"))
     leads = heads.select("head", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"),
                          F.col("head").alias("digest"))
-    rows = leads.unionByName(members).join(sets, "digest").select("head", "part", "role", "digest", "shingles")
+    return leads.unionByName(members).join(sets, "digest").select("head", "part", "role", "digest", "shingles") \
+        .repartition("head", "part").sortWithinPartitions("head", "part", "role", "digest")
+
+
+def _past(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, np.ndarray, bytes, np.ndarray, np.ndarray]]]:
+    """(head, its set, member, its set, which of these the head has), by batch."""
+    lead = np.zeros(0, _U)
+    for batch in batches:
+        out = []
+        for head, role, digest, raw in zip(*(batch.column(c).to_pylist() for c in ("head", "role", "digest", "shingles")),
+                                           strict=True):
+            own = np.frombuffer(raw, _U)
+            if role == 0:
+                lead = own
+                continue
+            at = np.searchsorted(lead, own)
+            at[at == len(lead)] = 0
+            out.append((head, lead, digest, own, lead[at] == own))
+        yield out
+
+
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """head, member, same, n_head, n_member, all (sizes of the intersection,
+    of either set and of the union) of distinct ``pairs`` (head, member)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = np.zeros(0, _U)
-        for batch in batches:
-            out = []
-            for h, role, digest, raw in zip(*(batch.column(c).to_pylist() for c in ("head", "role", "digest", "shingles")),
-                                            strict=True):
-                own = np.frombuffer(raw, _U)
-                if role == 0:
-                    head = own
-                    continue
-                at = np.searchsorted(head, own)
-                at[at == len(head)] = 0
-                same = int(np.count_nonzero(head[at] == own))
-                out.append((h, digest, same, len(head), len(own)))
+        for rows in _past(batches):
+            out = [(h, m, int(np.count_nonzero(hit)), len(lead), len(own)) for h, lead, m, own, hit in rows]
             cols = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, [pa.binary(), pa.binary(), *[pa.int64()] * 3], strict=True)],
                 names=["head", "member", "same", "n_head", "n_member"])
 
-    return rows.repartition("head", "part").sortWithinPartitions("head", "part", "role", "digest") \
-        .mapInArrow(run, "head binary, member binary, same long, n_head long, n_member long") \
+    return _beside(pairs, sets).mapInArrow(run, "head binary, member binary, same long, n_head long, n_member long") \
         .withColumn("all", F.col("n_head") + F.col("n_member") - F.col("same"))
 
 
+def outside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """head, member, shingle: a row for each shingle of the member that the head lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _past(batches):
+            for h, _, m, own, hit in rows:
+                rest = own[~hit].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h] * len(rest), pa.binary()), pa.array([m] * len(rest), pa.binary()), pa.array(rest)],
+                    names=["head", "member", "shingle"])
+
+    return _beside(pairs, sets).mapInArrow(run, "head binary, member binary, shingle long")
+
+
+def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """head, member (any two members of one group) of the pairs that can still be linked.
+
+    ``group``: head, member, same, n, label (its component), for groups whose
+    members are in several components; the head is a member of its own. A
+    link of x and y needs |x & y| of at least p (|x| + |y|) / (100 + p), and
+    |x & y| is at most the lesser of |x & head|, |y & head| plus what x and y
+    share outside the head. Either the lesser alone is enough, or they share
+    a shingle outside; pairs of the second kind are found by these shingles
+    and their number is counted."""
+    near = 100 + percent
+    away = 1 - F.col("same") / (F.col("n") + F.col("n_head") - F.col("same"))
+    group = group.withColumn("away", away).select("head", "member", "same", "n", "label", "away")
+    other = group.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]])
+    apart = (F.col("member") < F.col("o_member")) & (F.col("label") != F.col("o_label")) \
+        & (F.abs(F.col("away") - F.col("o_away")) <= 1 - percent / 100 + 1e-9)  # the distance is a metric
+    both = percent * (F.col("n") + F.col("o_n"))
+    # first kind: each one's size is at most what the other's part in the head allows
+    most = F.floor(near * F.col("same") / percent) - F.col("n")
+    small = group.groupBy("head").agg(F.min("n").alias("least"))
+    part = group.join(small, "head").where(most >= F.col("least")).drop("least")
+    mixed = part.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
+    part = part.join(mixed, "head")
+    first = part.join(part.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]]), "head") \
+        .where(apart & (near * F.least("same", "o_same") >= both)).select("member", "o_member")
+    # second kind
+    own = materialize(outside(group.where("head <> member").select("head", "member"), sets), "outside")
+    shared = own.join(own.withColumnRenamed("member", "o_member"), ["head", "shingle"]).where("member < o_member") \
+        .groupBy("head", "member", "o_member").agg(F.count("*").alias("shared"))
+    second = shared.join(group, ["head", "member"]).join(other, ["head", "o_member"]) \
+        .where(apart & (near * (F.least("same", "o_same") + F.col("shared")) >= both)).select("member", "o_member")
+    return first.unionByName(second).distinct().select(F.col("member").alias("head"), F.col("o_member").alias("member"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node reachable) of all nodes of ``edges`` (u, v)."""
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
@@ -231,21 +293,16 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     stars = materialize(compare(led.where("head <> digest").select("head", F.col("digest").alias("member")).distinct(), sets), "stars")
     found = near(stars)
     labels = components(found)
-    # members of one bucket that are still apart
-    apart = led.join(labels.withColumnRenamed("node", "digest"), "digest", "left") \
-        .withColumn("label", F.coalesce("label", "digest"))
-    open_ = apart.groupBy("band").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("band")
-    away = stars.select("head", F.col("member").alias("digest"), (1 - F.col("same") / F.col("all")).alias("away"))
-    apart = materialize(
-        apart.join(open_, "band").join(away, ["head", "digest"], "left")
-        .withColumn("away", F.coalesce("away", F.lit(0.0))).select("band", "digest", "label", "away"), "apart")
-    other = apart.select("band", F.col("digest").alias("member"), F.col("label").alias("l"), F.col("away").alias("a"))
-    close = 1 - percent / 100 + 1e-9
-    pairs = apart.join(other, "band").where(
-        (F.col("digest") < F.col("member")) & (F.col("label") != F.col("l")) & (F.abs(F.col("away") - F.col("a")) <= close)) \
-        .select(F.col("digest").alias("head"), "member").distinct()
+    # groups whose members are still in different components
+    alone = led.where("head = digest").select("head").distinct()
+    group = stars.select("head", "member", "same", F.col("n_member").alias("n"), "n_head")
+    lead = stars.select("head", F.col("head").alias("member"), F.col("n_head").alias("same"), F.col("n_head").alias("n"), "n_head").distinct()
+    group = group.unionByName(lead.join(alone, "head")).join(labels.withColumnRenamed("node", "member"), "member", "left") \
+        .withColumn("label", F.coalesce("label", "member"))
+    mixed = group.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
+    group = materialize(group.join(mixed, "head"), "groups")
     known = stars.select("head", "member").unionByName(stars.select(F.col("member").alias("head"), F.col("head").alias("member")))
-    rest = compare(pairs.join(known, ["head", "member"], "left_anti"), sets)
+    rest = compare(rest_pairs(group, sets, percent).join(known, ["head", "member"], "left_anti"), sets)
     return found.unionByName(near(rest))
 
 
