@@ -7,12 +7,14 @@
    no later rank can lower a register.
 2. Banding. Documents with equal sets are one node from here on. Nodes with
    an equal band share a bucket.
-3. Verification. Each bucket's members are compared on full sets with its
-   leader, the member that shares most buckets (a near copy's original).
-   Members of one bucket that are then still in different components can be
-   linked only if they share shingles outside the leader's set, or if both
-   are little more than parts of it (see ``rest_pairs``); only such pairs
-   are compared, so no bucket emits all its pairs and none loses a link.
+3. Verification. A bucket's leader is the member that shares most buckets (a
+   near copy's original); the buckets of leaders with one most central leader
+   of their own form a group under it, its head (or under the member nearest
+   to what most members have, see ``better_heads``). A group's members are
+   compared with the head on full sets. Those that are then still in different
+   components can be linked only if they share shingles outside the head's
+   set, or if both are little more than parts of it (see ``rest_pairs``); only
+   such pairs are compared, so no group emits all its pairs and none loses a link.
 4. Union-find over the links, as parent pointers contracted by joins
    (large-star, small-star) with a written table after each round.
 
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimspark.llm.common import slices, text_key
@@ -228,11 +230,10 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ``group``: head, member, same, n, label (its component), for groups whose
     members are in several components; the head is a member of its own. A
-    link of x and y needs |x & y| of at least p (|x| + |y|) / (100 + p), and
-    |x & y| is at most the lesser of |x & head|, |y & head| plus what x and y
+    link of x and y needs |x & y| of at least p (|x| + |y|) / (100 + p), and p |x| / 100,
+    and |x & y| is at most the lesser of |x & head|, |y & head| plus what x and y
     share outside the head. Either the lesser alone is enough, or they share
-    a shingle outside; pairs of the second kind are found by these shingles
-    and their number is counted."""
+    shingles outside; pairs of the second kind are found by these shingles."""
     near = 100 + percent
     away = 1 - F.col("same") / (F.col("n") + F.col("n_head") - F.col("same"))
     group = group.withColumn("away", away).select("head", "member", "same", "n", "label", "away")
@@ -248,15 +249,39 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     part = part.join(mixed, "head")
     first = part.join(part.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]]), "head") \
         .where(apart & (near * F.least("same", "o_same") >= both)).select("member", "o_member")
-    # second kind
-    own = materialize(outside(group.where("head <> member").select("head", "member"), sets), "outside")
-    shared = own.join(own.withColumnRenamed("member", "o_member"), ["head", "shingle"]).where("member < o_member") \
-        .groupBy("head", "member", "o_member").agg(F.count("*").alias("shared"))
-    second = shared.join(group, ["head", "member"]).join(other, ["head", "o_member"]) \
-        .where(apart & (near * (F.least("same", "o_same") + F.col("shared")) >= both)).select("member", "o_member")
+    # second kind: a member needs at least ``need`` shared shingles outside, so one of them is among
+    # its first (outside - need + 1) by rarity in the group; common ones come last and find no pairs
+    own = outside(group.where("head <> member").select("head", "member"), sets)
+    seen = own.groupBy("head", "shingle").agg(F.count("*").alias("seen"))
+    need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100) - F.col("same"))
+    order = F.row_number().over(Window.partitionBy("head", "member").orderBy("seen", "shingle"))
+    first_ones = own.join(seen, ["head", "shingle"]).withColumn("order", order) \
+        .join(group.select("head", "member", "n", "same", "label"), ["head", "member"]) \
+        .where((F.col("order") <= F.col("n") - F.col("same") - need + 1) & (F.col("seen") > 1))
+    rare = materialize(first_ones.select("head", "member", "shingle", "label"), "outside")
+    twin = rare.withColumnsRenamed({"member": "o_member", "label": "o_label"})
+    second = rare.join(twin, ["head", "shingle"]).where("member < o_member and label <> o_label") \
+        .select("head", "member", "o_member").distinct() \
+        .join(group, ["head", "member"]).join(other, ["head", "o_member"]).where(apart).select("member", "o_member")
     return first.unionByName(second).distinct().select(F.col("member").alias("head"), F.col("o_member").alias("member"))
 
 
+def better_heads(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """head, better: for groups whose head lacks shingles that most members have (a
+    copy whose signature happens to be the original's), the member that is
+    nearest to what most have."""
+    open_ = stars.groupBy("head").agg(F.min(100 * F.col("same") - percent * F.col("all")).alias("least"), F.count("*").alias("members")) \
+        .where("least < 0").select("head", "members")
+    own = materialize(outside(stars.join(open_, "head").select("head", "member"), sets), "outside")
+    most = own.groupBy("head", "shingle").agg(F.count("*").alias("seen")).join(open_, "head") \
+        .where(2 * F.col("seen") > F.col("members")).select("head", "shingle", F.lit(1).alias("common"))
+    gain = own.join(most, ["head", "shingle"], "left").groupBy("head", "member") \
+        .agg(F.sum(F.coalesce("common", F.lit(-1))).alias("gain"))
+    near = F.col("same") + F.coalesce("gain", F.lit(0))
+    return stars.join(most.select("head").distinct(), "head").join(gain, ["head", "member"], "left") \
+        .groupBy("head").agg(F.max_by("member", F.struct(near, "member")).alias("better"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node reachable) of all nodes of ``edges`` (u, v)."""
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
@@ -287,21 +312,29 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     members = materialize(members.join(sizes, "band"), "buckets")
     central = members.groupBy("digest").agg(F.sum("size").alias("central"))
     leaders = members.join(central, "digest").groupBy("band").agg(
-        F.max_by("digest", F.struct("central", "digest")).alias("head"))
-    led = materialize(members.select("band", "digest").join(leaders, "band"), "led")
+        F.max_by("digest", F.struct("central", "digest")).alias("leader"))
+    led = materialize(members.select("band", "digest").join(leaders, "band").select("leader", "digest").distinct(), "led")
+    # a bucket without the original has one of its copies as leader: that copy's own most central leader heads the group
+    own = led.join(central.withColumnRenamed("digest", "leader"), "leader").groupBy("digest").agg(
+        F.max_by("leader", F.struct("central", "leader")).alias("head"))
+    grouped = materialize(led.join(own.select(F.col("digest").alias("leader"), "head"), "leader")
+                          .select("head", F.col("digest").alias("member")).distinct(), "grouped")
     sets = materialize(sets_of(docs, nodes.select("digest", "doc_id", "key").join(central.select("digest"), "digest"), size), "sets")
-    stars = materialize(compare(led.where("head <> digest").select("head", F.col("digest").alias("member")).distinct(), sets), "stars")
-    found = near(stars)
+    stars = materialize(compare(grouped.where("head <> member"), sets), "stars")
+    better = materialize(better_heads(stars, sets, percent), "better")
+    again = grouped.join(better, "head").select(F.col("better").alias("head"), "member").where("head <> member").distinct()
+    again = materialize(compare(again, sets), "stars")
+    found = near(stars).unionByName(near(again))
     labels = components(found)
-    # groups whose members are still in different components
-    alone = led.where("head = digest").select("head").distinct()
+    stars, known = stars.join(better, "head", "left_anti").unionByName(again), stars.unionByName(again)
+    # groups whose members are still in different components; the head is one of them
     group = stars.select("head", "member", "same", F.col("n_member").alias("n"), "n_head")
     lead = stars.select("head", F.col("head").alias("member"), F.col("n_head").alias("same"), F.col("n_head").alias("n"), "n_head").distinct()
-    group = group.unionByName(lead.join(alone, "head")).join(labels.withColumnRenamed("node", "member"), "member", "left") \
+    group = group.unionByName(lead).join(labels.withColumnRenamed("node", "member"), "member", "left") \
         .withColumn("label", F.coalesce("label", "member"))
     mixed = group.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
     group = materialize(group.join(mixed, "head"), "groups")
-    known = stars.select("head", "member").unionByName(stars.select(F.col("member").alias("head"), F.col("head").alias("member")))
+    known = known.select("head", "member").unionByName(known.select(F.col("member").alias("head"), F.col("head").alias("member")))
     rest = compare(rest_pairs(group, sets, percent).join(known, ["head", "member"], "left_anti"), sets)
     return found.unionByName(near(rest))
 
