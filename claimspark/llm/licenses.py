@@ -91,12 +91,10 @@ def template_frame(spark, templates: dict[str, str]) -> list[tuple[str, list[int
     return [(r.license, sorted(r.shingles)) for r in rows]
 
 
-def band_key(shingles: Column, band: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(band))))
-
-
-def band_keys(shingles: Column, bands: int) -> Column:
-    return F.array(*[F.struct(F.lit(b).alias("band"), band_key(shingles, b).alias("band_key")) for b in range(bands)])
+def band_keys(shingles: Column, bands: Column) -> Column:
+    """One struct (band, band_key) for each band: the lowest of its hashes."""
+    key = lambda b: F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, b)))
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda b: F.struct(b.alias("band"), key(b).alias("band_key")))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -111,26 +109,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     classes: dict[tuple[int, int, int], list] = {}
     for name, own in known:
         classes.setdefault(class_of(len(own)), []).append((name, own))
-    kinds = spark.createDataFrame([(length, step, bands, sorted({h for _, own in v for h in own}))
-                                   for (length, step, bands), v in sorted(classes.items())],
-                                  "length int, step int, bands int, of_class array<long>").collect()
-    shape = F.array(*[F.struct(*[F.lit(k[c]).alias(c) for c in ("length", "step", "bands", "of_class")]) for k in kinds])
+    shape = F.array(*[
+        F.struct(F.lit(length).alias("length"), F.lit(step).alias("step"), F.lit(bands).alias("bands"),
+                 F.lit(sorted({h for _, own in v for h in own})).alias("of_class"))
+        for (length, step, bands), v in sorted(classes.items())])
     cut = lambda at: F.struct(at.alias("start"), F.slice("hashes", at + 1, F.col("length")).alias("window"))
     windows = rows.select("doc_id", "key", "hashes", F.inline(shape)) \
-        .select("doc_id", "key", "length", "of_class", F.inline(F.transform(
+        .select("doc_id", "key", "length", "of_class", "bands", F.inline(F.transform(
             F.sequence(F.lit(0), F.size("hashes") - 1, F.col("step")), cut))) \
         .where(F.arrays_overlap("window", "of_class")).drop("of_class")
-    keyed = None
-    for k in kinds:
-        own = windows.where(F.col("length") == k.length) \
-            .select("doc_id", "key", "length", "start", "window", F.inline(band_keys(F.col("window"), k.bands)))
-        keyed = own if keyed is None else keyed.unionByName(own)
+    keyed = windows.select("doc_id", "key", "length", "start", "window", F.inline(band_keys(F.col("window"), F.col("bands"))))
     targets = [(name, own, shape_[0], shape_[2]) for shape_, v in classes.items() for name, own in v]
     frame = spark.createDataFrame(targets, "license string, shingles array<long>, length int, bands int")
-    bands = None
-    for k in kinds:
-        own = frame.where(F.col("length") == k.length).select("license", "shingles", "length", F.inline(band_keys(F.col("shingles"), k.bands)))
-        bands = own if bands is None else bands.unionByName(own)
+    bands = frame.select("license", "shingles", "length", F.inline(band_keys(F.col("shingles"), F.col("bands"))))
     inside = F.size(F.array_intersect("window", "shingles"))
     found = keyed.join(F.broadcast(bands), ["length", "band", "band_key"]) \
         .where(100 * inside >= CONTAINMENT * F.size("shingles")) \
