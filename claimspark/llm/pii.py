@@ -2,15 +2,16 @@
 
 Rules find emails, IP addresses, card and phone numbers in whole texts. A
 character-level bidirectional LSTM with CRF transitions, trained in numpy on
-windows whose spans the rules labelled and on written-out variants of these
-(a spaced or bracketed at sign, phone numbers without the country part), adds
-what the rules' grammar misses. Every span has a digit or an at sign in or
+windows whose spans the rules labelled and on variants of these (a spaced or
+bracketed at sign, phone numbers without the country part, spaced or bracketed
+dots of IPs, other signs in card numbers), adds what the rules' grammar misses. Every span has a digit or an at sign in or
 beside it, so characters far from all of these need no decoding. Stretches
 around them are cut into overlapping windows; the windows' emissions are
 blended by the distance to the window's ends, and one Viterbi pass over the
 whole stretch reconciles them. An added span must be sure (mean marginal),
 must be of its kind's digits, and must not overlap a rule's span or a match
-that a rule has rejected (such as a number that fails Luhn).
+that its own kind's rule has rejected in spite of digits enough (such as a
+card-long number that fails Luhn).
 
 Defined results
   null or empty text: no spans
@@ -49,6 +50,8 @@ _TRIGGER = re.compile(r"[0-9@]")
 TRAIN_WINDOWS = 2_000
 WINDOW, STRIDE, BEFORE, AFTER = 96, 48, 24, 32
 SURE = 0.9
+#: Digits that a match has at least before a rule's refusal of it counts.
+LEAST_DIGITS = {"email": 0, "ip": 4, "card": 13, "phone": 9}
 
 
 def _digits(text: str) -> str:
@@ -292,7 +295,7 @@ def stretches(text: str) -> list[tuple[int, int]]:
 
 
 def variant(text: str, spans: dict[str, list[tuple[int, int]]], rng: random.Random) -> tuple[str, dict[str, list[tuple[int, int]]]]:
-    """A window with its emails and phones written another way, and where they are now."""
+    """A window with its spans written another way, and where they are now."""
     found = sorted((a, b, kind) for kind in KINDS for a, b in spans[kind])
     out, new, at = "", {k: [] for k in KINDS}, 0
     for a, b, kind in found:
@@ -303,6 +306,11 @@ def variant(text: str, spans: dict[str, list[tuple[int, int]]], rng: random.Rand
             body = body.replace("@", rng.choice([" @ ", "(at)", " [at] ", " at ", "@"]), 1)
         elif kind == "phone":
             body = rng.choice([body.partition(" ")[2] or body, re.sub(r"[ ()]+", "-", body).strip("-+"), body])
+        elif kind == "ip":
+            body = body.replace(".", rng.choice([" . ", "[.]", "."]))
+        else:
+            sign, digits = rng.choice([".", " - ", ""]), _digits(body)
+            body = sign.join(digits[i:i + 4] for i in range(0, len(digits), 4)) if sign else body
         out += text[at:a]
         new[kind].append((len(out), len(out) + len(body)))
         out += body
@@ -317,7 +325,7 @@ def train(windows: list[str], seed: int = 0, epochs: int = 8, batch: int = 64, r
     for w in windows:
         spans, _ = base_spans(w)
         rows.append((w, spans))
-        if spans["email"] or spans["phone"]:
+        if any(spans.values()):
             text, new = variant(w, spans, rng)
             rows.append((text[:WINDOW], {k: [s for s in v if s[1] <= WINDOW] for k, v in new.items()}))
     if not any(s[k] for _, s in rows for k in KINDS):
@@ -393,6 +401,12 @@ def plausible(kind: str, text: str) -> bool:
     return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
 
+def refused(text: str, kind: str, rejected: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The rejected matches of a kind with digits enough for it: these are no such
+    data. Shorter ones are parts of anything, as the groups of a phone number."""
+    return [(a, b) for a, b in rejected if len(_digits(text[a:b])) >= LEAST_DIGITS[kind]]
+
+
 def find(texts: list[str | None], tagger: Tagger | None) -> list[tuple[dict, list[tuple[str, int, int, float]]]]:
     """(rules' spans by kind, added spans with their marginals) of each text."""
     base = [base_spans(t) for t in texts]
@@ -405,10 +419,10 @@ def find(texts: list[str | None], tagger: Tagger | None) -> list[tuple[dict, lis
     added: list[list] = [[] for _ in texts]
     for (i, at), found in zip(owners, tag_stretches(tagger, parts) if parts else [], strict=True):
         accepted, rejected = base[i]
-        taken = [s for k in KINDS for s in accepted[k] + rejected[k]]
+        taken = {k: [s for spans in accepted.values() for s in spans] + refused(texts[i], k, rejected[k]) for k in KINDS}
         for kind, a, b, sure in found:
             a, b = a + at, b + at
-            if sure >= SURE and plausible(kind, texts[i][a:b]) and not any(a < y and x < b for x, y in taken):
+            if sure >= SURE and plausible(kind, texts[i][a:b]) and not any(a < y and x < b for x, y in taken[kind]):
                 added[i].append((kind, a, b, sure))
     return [(accepted, more) for (accepted, _), more in zip(base, added, strict=True)]
 

@@ -127,3 +127,30 @@ def test_query_digest(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(re.match(k, s) is not None for s in want) for k in X.KINDS]
         assert set(want) <= set(filter(None, r.spans.split(","))) and len(want) + r.n_added == len(list(filter(None, r.spans.split(","))))
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    return X.train(sample(1500, 5), epochs=8)
+
+
+def added(tagger, text):
+    return {(k, text[a:b]) for k, a, b, _ in X.find([text], tagger)[0][1]}
+
+
+@pytest.mark.parametrize("kind", ["phone", "email", "ip"])
+def test_added_spans_may_hold_runs_of_digits(tagger, kind):
+    """Groups of digits too few for a card are no rejected card."""
+    other = {"phone": lambda s: s.partition(" ")[2], "email": lambda s: s.replace("@", "(at)"), "ip": lambda s: s.replace(".", " . ")}[kind]
+    spans = [(w, [w[a:b] for a, b in X.base_spans(w)[0][kind]]) for w in sample(200, 6)]
+    want = [(w.replace(s, other(s)), (kind, other(s))) for w, (s, *_) in ((w, s) for w, s in spans if s)]
+    found = [span in added(tagger, text) for text, span in want]
+    assert len(found) > 20 and sum(found) > len(found) / 2
+
+
+def test_added_spans_keep_clear_of_what_their_own_rule_rejects(monkeypatch):
+    text = "4111 1111 1111 1112 300.1.1.1 +1 (555) 010-9999"
+    tags = [("card", 0, 18, 1.0), ("ip", 20, 29, 1.0), ("phone", 33, 47, 1.0)]
+    monkeypatch.setattr(X, "plausible", lambda *_: True)
+    monkeypatch.setattr(X, "tag_stretches", lambda *_: [tags])
+    assert X.find([text], X.Tagger.new())[0][1] == []
