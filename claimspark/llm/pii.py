@@ -4,8 +4,9 @@ Rules find emails, IP addresses, card and phone numbers in whole texts. A
 character-level bidirectional LSTM with CRF transitions, trained in numpy on
 windows whose spans the rules labelled and on variants of these (a spaced or
 bracketed at sign, phone numbers without the country part, spaced or bracketed
-dots of IPs, other signs in card numbers), adds what the rules' grammar misses. Every span has a digit or an at sign in or
-beside it, so characters far from all of these need no decoding. Stretches
+dots of IPs, other signs in card numbers), adds what the rules' grammar misses.
+Every span has a digit, an at sign or the word "at" in or beside it, so
+characters far from all of these need no decoding. Stretches
 around them are cut into overlapping windows; the windows' emissions are
 blended by the distance to the window's ends, and one Viterbi pass over the
 whole stretch reconciles them. An added span must be sure (mean marginal),
@@ -45,6 +46,8 @@ PATTERNS = {
 }
 _EMAIL_HEAD = re.compile(r"[A-Za-z0-9._%+-]+")
 _TRIGGER = re.compile(r"[0-9@]")
+#: What an added span has in or beside it: the above, or an at sign written as a word.
+_NEAR = re.compile(r"[0-9@]|(?<![A-Za-z0-9])[Aa][Tt](?![A-Za-z0-9])")
 
 #: Windows that the tagger is trained on, chosen by a hash of the text.
 TRAIN_WINDOWS = 2_000
@@ -258,6 +261,37 @@ def viterbi(em: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return tags
 
 
+def viterbi_all(parts: list[np.ndarray], trans: np.ndarray, cells: int = 65_536) -> list[np.ndarray]:
+    """``viterbi`` of many stretches, those of like length side by side."""
+    out: list = [np.zeros(0, np.int64)] * len(parts)
+    order = sorted((i for i in range(len(parts)) if len(parts[i])), key=lambda i: -len(parts[i]))
+    while order:
+        n = max(1, cells // len(parts[order[0]]))
+        own, order = order[:n], order[n:]
+        if len(own) == 1:
+            out[own[0]] = viterbi(parts[own[0]], trans)
+            continue
+        ends = np.array([len(parts[i]) for i in own])  # falling
+        came = np.zeros((ends[0], len(own), trans.shape[0]), np.int8)
+        score, rows = np.array([parts[i][0] for i in own]), np.arange(len(own))
+        em = np.zeros((ends[0], len(own), trans.shape[0]))
+        for j, i in enumerate(own):
+            em[:ends[j], j] = parts[i]
+        for t in range(1, ends[0]):
+            live = int(np.searchsorted(-ends, -t))  # stretches longer than t come first
+            step = score[:live, :, None] + trans
+            came[t, :live] = step.argmax(1)
+            score[:live] = step.max(1) + em[t, :live]
+        tags = np.zeros((ends[0], len(own)), np.int64)
+        tags[ends - 1, rows] = score.argmax(1)
+        for t in range(ends[0] - 1, 0, -1):
+            live = int(np.searchsorted(-ends, -t))
+            tags[t - 1, :live] = came[t, rows[:live], tags[t, :live]]
+        for j, i in enumerate(own):
+            out[i] = tags[:ends[j], j]
+    return out
+
+
 def tags_of(spans: dict[str, list[tuple[int, int]]], begin: int, end: int) -> np.ndarray:
     out = np.zeros(end - begin, np.int64)
     for k, kind in enumerate(KINDS):
@@ -282,10 +316,10 @@ def spans_of(tags: np.ndarray) -> list[tuple[str, int, int]]:
     return out
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """The parts of a text that lie near a digit or an at sign."""
+def stretches(text: str, trigger: re.Pattern = _NEAR) -> list[tuple[int, int]]:
+    """The parts of a text that lie near a digit or an at sign, also one in letters."""
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
+    for m in trigger.finditer(text):
         a, b = max(0, m.start() - BEFORE), min(len(text), m.end() + AFTER)
         if out and a <= out[-1][1]:
             out[-1][1] = b
@@ -375,12 +409,12 @@ def tag_stretches(tagger: Tagger, parts: list[str], batch: int = 1024) -> list[l
             em[i][a:a + n] += e[:n, j] * ramp[:n, None]
             mass[i][a:a + n] += ramp[:n]
     trans = tagger.p["trans"] + allowed()
+    em = [e / w[:, None] for e, w in zip(em, mass, strict=True)]
     out = []
-    for p, e, w in zip(parts, em, mass, strict=True):
+    for p, e, tags in zip(parts, em, viterbi_all(em, trans), strict=True):
         found = []
         if len(p):
-            e = e / w[:, None]
-            spans = spans_of(viterbi(e, trans))
+            spans = spans_of(tags)
             if spans:
                 own = marginals(e[:, None], trans, np.ones((len(p), 1), bool))[0][:, 0]
                 for kind, a, b in spans:
@@ -395,7 +429,7 @@ def plausible(kind: str, text: str) -> bool:
     """What an added span must hold of its kind."""
     digits = _digits(text)
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", text)) and "." in text and len(text) >= 6
+        return bool(re.search(r"@|(?<![A-Za-z0-9])at(?![A-Za-z0-9])", text, re.IGNORECASE)) and "." in text and len(text) >= 6
     if kind == "ip":
         return len(parts := re.findall(r"[0-9]+", text)) == 4 and all(map(_at_most_255, parts))
     return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
@@ -434,7 +468,7 @@ def learn(docs: DataFrame, bound: int = TRAIN_WINDOWS) -> Tagger | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            cut = [t[a:min(b, a + WINDOW)] for t in part.column("text").to_pylist() for a, b in stretches(t)]
+            cut = [t[a:min(b, a + WINDOW)] for t in part.column("text").to_pylist() for a, b in stretches(t, _TRIGGER)]
             yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string())], names=["window"])
 
     got = rows.mapInArrow(run, "window string").orderBy(F.xxhash64("window"), "window").limit(bound).toPandas()

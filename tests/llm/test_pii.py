@@ -154,3 +154,24 @@ def test_added_spans_keep_clear_of_what_their_own_rule_rejects(monkeypatch):
     monkeypatch.setattr(X, "plausible", lambda *_: True)
     monkeypatch.setattr(X, "tag_stretches", lambda *_: [tags])
     assert X.find([text], X.Tagger.new())[0][1] == []
+
+
+def test_written_out_emails_without_digit_or_at_sign_are_seen(tagger):
+    found = 0
+    for w in sample(200, 7):
+        (span,) = X.base_spans(w)[0]["email"] or [(0, 0)]
+        if span[1]:
+            email = re.sub("[0-9]", "", w[span[0]:span[1]]).replace("@", "(at)")
+            text = f"{w[:span[0]]}{email}{w[span[1]:]}"
+            assert not re.search("[0-9@]", text)
+            found += ("email", email) in added(tagger, text)
+    assert found > 15
+    assert X.stretches("see AT sign") and not X.stretches("that attic") and X.plausible("email", "ann [AT] corp.org")
+
+
+def test_stretches_side_by_side_have_the_same_best_tags():
+    rng = np.random.default_rng(0)
+    trans = rng.normal(size=(X.TAGS, X.TAGS)) + X.allowed()
+    parts = [rng.normal(size=(int(n), X.TAGS)) for n in [0, 1, 1, 300, *rng.integers(2, 90, 60)]]
+    for own, part in zip(X.viterbi_all(parts, trans, cells=500), parts, strict=True):
+        assert own.tolist() == (X.viterbi(part, trans).tolist() if len(part) else [])
