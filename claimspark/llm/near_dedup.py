@@ -326,7 +326,8 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     again = materialize(compare(again, sets), "stars")
     found = near(stars).unionByName(near(again))
     labels = components(found)
-    stars, known = stars.join(better, "head", "left_anti").unionByName(again), stars.unionByName(again)
+    # a better head may head a group of its own too; each pair counts once
+    stars, known = stars.join(better, "head", "left_anti").unionByName(again).dropDuplicates(["head", "member"]), stars.unionByName(again)
     # groups whose members are still in different components; the head is one of them
     group = stars.select("head", "member", "same", F.col("n_member").alias("n"), "n_head")
     lead = stars.select("head", F.col("head").alias("member"), F.col("n_head").alias("same"), F.col("n_head").alias("n"), "n_head").distinct()

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from claimspark.llm import near_dedup as N
 
@@ -115,3 +116,24 @@ def test_components_of_long_paths_and_hubs(spark):
     got_ = {r.node: r.label for r in N.components(frame).collect()}
     assert got_ == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1300)}}
     assert N.components(frame.limit(0)).count() == 0
+
+
+def test_better_head_that_already_heads_another_group(spark, docs_of):
+    """B heads the group of L's buckets and takes over the group of H; member m is in both.
+    m and y share nothing with B, so only their shingles outside B can link them."""
+    words = lambda name, n: [f"{name}{i}" for i in range(n)]
+    texts = {"H": words("h", 50), "B": words("c", 100), "L": words("l", 60), **{k: words(k, 40) for k in ("z1", "z2", "w1", "w2")},
+             **{f"p{i}": words("c", 100) + words(f"p{i}x", 5) for i in range(6)},
+             "m": words("both", 160) + words("m", 20), "y": words("both", 160) + words("y", 20)}
+    buckets = [["H", "B", "m", *[f"p{i}" for i in range(6)]], ["B", "L"], ["L", "m", "y"],
+               *[["H", "z1", "z2"]] * 4, *[["B", "p0", "p1"]] * 3, *[["L", "w1", "w2"]] * 4]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts.values())]
+    docs = docs_of(rows)
+    of = {i: [b for b, names in enumerate(buckets) if name in names] for i, name in enumerate(texts)}
+    bands = spark.createDataFrame(list(of.items()), "i long, bands array<long>")
+    nodes = docs.join(bands, docs.doc_id == bands.i).select(
+        F.encode(F.col("doc_id").cast("string"), "utf-8").alias("digest"), "doc_id", N.text_key(F.col("text")).alias("key"), "bands")
+    labels = {int(bytes(r.node)): bytes(r.label) for r in N.components(N.links(docs, nodes, 1, 80)).collect()}
+    want = {d: c for d, _, c in brute(rows, 1, 80)}
+    assert {(a, b) for a in want for b in want if want[a] == want[b]} == \
+        {(a, b) for a in want for b in want if labels.get(a, a) == labels.get(b, b)}
