@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspark.llm import licenses, line_templates, mixing, near_dedup, packing, pii, quality_rules, topk, toxicity, url_filter
+from claimspark.llm import alignment, licenses, line_templates, mixing, near_dedup, packing, pii, quality_rules, topk, toxicity, url_filter
 from claimspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.HOST_RULES + url_filter.PATTERN_RULES) \
         .select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
