@@ -1,10 +1,13 @@
 """Operator 12: cross-tokenizer alignment by interval coalescing.
 
-Both tokenizers tile the bytes of space+text. All tokens of a slice of texts
-are lexsorted by start; ``maximum.accumulate`` of their ends gives the reach so
-far, and a group breaks where a start reaches it, that is at every byte where a
-token of both sides ends. Inside a group every A token is linked with every B
-token.
+Both tokenizers tile the bytes of space+text. All tokens of both are lexsorted by
+start; ``maximum.accumulate`` of their ends gives the reach so far, and a group
+breaks where a start reaches it, that is at every byte where a token of both
+sides ends. Inside a group every A token is linked with every B token.
+
+No token of either side reaches over a single space between two other characters
+(see ``words``), so a group never does, and a block of texts is aligned by its
+distinct words; a tokenizer of another kind gets whole texts as words.
 
 The corpus-wide counts (how many documents hold an id pair linked) travel by
 block, a slice of about ``SLICE_BYTES`` of text: a block sends each of its id
@@ -16,9 +19,8 @@ vocabulary bounds.
 Defined results
   null or empty text, or one that a tokenizer does not give back byte for byte:
     no tokens, zeros, an empty groups_sha256
-  very long text: one slice by itself; it is encoded by segments that end before
-    a space between two letters (see ``segments``), so its tokens are held as
-    arrays; its task needs about 40 bytes a byte of the text
+  very long text: a block by itself, split by segments of ``SEGMENT_CHARS``; its
+    task holds the text, 4 bytes a word and its distinct words' tokens
   repeated rows, equal or null doc_ids: every row is a document of its own
   ties for an A id's highest count: every pair that reaches it counts
   empty table: no rows
@@ -31,6 +33,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +47,11 @@ from claimspark.session import materialize
 #: Text of a block, the unit in which pairs are counted before they are shuffled.
 SLICE_BYTES = 4_000_000
 #: Links that are written out at a time.
-CHUNK_LINKS = 4_000_000
-#: Texts longer than this many characters are encoded by segments of about as many.
+CHUNK_LINKS = 1_000_000
+#: Characters of a text that are split into words at a time.
 SEGMENT_CHARS = 500_000
 
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SIDES: dict = {}
 
 
@@ -58,18 +61,15 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def segments(text: str, size: int) -> list[str]:
-    """``text`` cut before single spaces between letters, where no token of either
-    kind can reach over: byte-level BPE starts a word there, and a piece holds a
-    space only in front (``SidePieces`` checks that of its vocabulary)."""
-    if len(text) <= size:
-        return [text]
-    out, begin = [], 0
+def words(text: str, size: int | None = None) -> Iterator[list[str]]:
+    """Lists of the pieces of ``text`` between single spaces that have no white space
+    beside them. Byte-level BPE starts a word at such a space, and a SentencePiece
+    vocabulary with spaces only in front of its pieces (checked) a piece."""
+    size, begin = size or SEGMENT_CHARS, 0
     while len(text) - begin > size and (cut := _CUT.search(text, begin + size)):
-        out.append(text[begin:cut.start()])
+        yield _CUT.split(text[begin:cut.start()])
         begin = cut.end()
-    out.append(text[begin:])
-    return out
+    yield _CUT.split(text[begin:])
 
 
 def byte_symbols() -> dict[str, int]:
@@ -98,6 +98,7 @@ class SideBytes:
         self.tokens = [b""] * (max(self.library.get_vocab().values()) + 1)
         for token, i in vocab.items():
             self.tokens[i] = bytes(map(symbols.__getitem__, token))
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.ranks = self._as_ranks(spec, vocab)
 
     def _as_ranks(self, spec: dict, vocab: dict):
@@ -114,12 +115,14 @@ class SideBytes:
         return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, special_tokens={},
                                  mergeable_ranks={t: i for i, t in enumerate(self.tokens) if t})
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    @property
+    def by_word(self) -> bool:
+        return self.ranks is not None
+
+    def encode(self, text: str) -> np.ndarray:
         if self.ranks is None:
-            return [np.array(e.ids, np.int64) for e in
-                    self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        whole = lambda t: [self.ranks.encode_to_numpy(" " + s, disallowed_special=()) for s in segments(t, SEGMENT_CHARS)]
-        return [np.concatenate(whole(t)).astype(np.int64) for t in texts]
+            return np.array(self.library.encode(" " + text, add_special_tokens=False).ids, np.int64)
+        return self.ranks.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64)
 
 
 class SidePieces:
@@ -132,16 +135,12 @@ class SidePieces:
         pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         self.tokens = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode()
                        for i, p in enumerate(pieces)]
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         # a space inside or at the end of a piece would let it reach over a cut
-        self.by_segment = not any(" " in t.lstrip(b" ").decode("utf-8", "replace") for t in self.tokens)
+        self.by_word = not any(b" " in t.lstrip(b" ") for t in self.tokens)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        size = SEGMENT_CHARS if self.by_segment else max(map(len, texts), default=0)
-        out = []
-        for t in texts:
-            parts = [np.array(self.library.encode(s), np.int64) for s in segments(t, size)]
-            out.append(np.concatenate(parts))
-        return out
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text), np.int64)
 
 
 def _sides(paths: tuple[str, str]) -> tuple[SideBytes, SidePieces]:
@@ -154,30 +153,33 @@ def _sides(paths: tuple[str, str]) -> tuple[SideBytes, SidePieces]:
 
 
 class Aligned:
-    """Tokens and groups of a slice of texts, each text in a byte range of its own.
+    """Tokens and groups of texts, each in a byte range of its own, one after the other.
 
-    ``a``, ``b``: ids in order; ``docs_a``, ``docs_b``: the text of each token;
-    for each group its text ``doc`` and the first A and B token, with one more
-    at the end (``first_a``, ``first_b``)."""
+    ``a``, ``b``: ids in order; ``group_a``, ``group_b``: the group of each token; for
+    each group its text ``doc``, its ``sizes_a``, ``sizes_b`` and its first A and B
+    token, with one more at the end (``first_a``, ``first_b``). ``whole``: whether
+    both sides give the text back; one that is not whole has no tokens."""
 
-    def __init__(self, texts: list[str | None], paths: tuple[str, str]):
+    def __init__(self, texts: list[str], paths: tuple[str, str]):
         sides = _sides(paths)
         self.n = len(texts)
-        want = [(" " + t).encode() if t else b"" for t in texts]
-        there = [i for i, t in enumerate(texts) if t]
-        ids = [dict(zip(there, side.encode([texts[i] for i in there]), strict=True)) for side in sides]
-        there = [i for i in there if all(b"".join(map(side.tokens.__getitem__, of[i].tolist())) == want[i]
-                                         for side, of in zip(sides, ids, strict=True))]
-        base = np.concatenate([[0], np.cumsum([len(want[i]) for i in there])]).astype(np.int64)
+        want = [(" " + t).encode() for t in texts]
+        self.whole = np.ones(self.n, bool)
+        ids = self._together(texts, b"".join(want), sides)
+        if ids is None:
+            each = [[side.encode(t) for t in texts] for side in sides]
+            for side, of in zip(sides, each, strict=True):
+                back = (b"".join(map(side.tokens.__getitem__, x.tolist())) for x in of)
+                self.whole &= np.fromiter((x == w for x, w in zip(back, want, strict=True)), bool, self.n)
+            ids = [np.concatenate([np.zeros(0, np.int64), *[x for x, ok in zip(of, self.whole, strict=True) if ok]]) for of in each]
+        there = np.flatnonzero(self.whole)
+        base = np.cumsum([0, *[len(want[i]) for i in there]])
         spans = []
         for side, of in zip(sides, ids, strict=True):
-            lengths = np.array([len(t) for t in side.tokens], np.int64)
-            all_ids = np.concatenate([of[i] for i in there]) if there else np.zeros(0, np.int64)
-            ends = np.cumsum(lengths[all_ids]) if len(all_ids) else all_ids
-            docs = np.repeat(np.array(there, np.int64), [len(of[i]) for i in there])
-            spans.append((all_ids, ends - lengths[all_ids], ends, docs))
-        (self.a, start_a, end_a, self.docs_a), (self.b, start_b, end_b, self.docs_b) = spans
-        assert not there or (end_a[-1] == end_b[-1] == base[-1])
+            lengths = side.lengths[of]
+            end = np.cumsum(lengths)
+            spans.append((end - lengths, end))
+        (self.a, self.b), ((start_a, end_a), (start_b, end_b)) = ids, spans
         start, end = np.concatenate([start_a, start_b]), np.concatenate([end_a, end_b])
         order = np.lexsort((end, start))
         reach = np.maximum.accumulate(end[order])
@@ -188,15 +190,22 @@ class Aligned:
         self.group_a, self.group_b = group[:len(self.a)], group[len(self.a):]
         groups = np.arange(int(fresh.sum()) + 1)
         self.first_a, self.first_b = np.searchsorted(self.group_a, groups), np.searchsorted(self.group_b, groups)
-        self.doc = self.docs_a[self.first_a[:-1]]
+        self.doc = there[np.searchsorted(base, start_a[self.first_a[:-1]], "right") - 1] if len(there) else groups[:0]
         self.sizes_a, self.sizes_b = np.diff(self.first_a), np.diff(self.first_b)
 
-    def per_text(self, docs: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-        """Sum for each text; exact in whole numbers."""
-        if weights is None:
-            return np.bincount(docs, minlength=self.n)
+    def _together(self, texts: list[str], want: bytes, sides) -> list[np.ndarray] | None:
+        """Ids of all texts at once where cuts between them are none to either side."""
+        clean = not any(t[:1].isspace() or t[-1:].isspace() for t in texts)
+        if not texts or not clean or not all(side.by_word for side in sides):
+            return None
+        ids = [side.encode(" ".join(texts)) for side in sides]
+        back = [b"".join(map(side.tokens.__getitem__, x.tolist())) for side, x in zip(sides, ids, strict=True)]
+        return ids if back[0] == back[1] == want else None
+
+    def per_text(self, weights: np.ndarray | None = None) -> np.ndarray:
+        """How many groups each text has, or the sum of their ``weights``."""
         out = np.zeros(self.n, np.int64)
-        np.add.at(out, docs, weights)
+        np.add.at(out, self.doc, 1 if weights is None else weights)
         return out
 
     def written(self) -> list[str]:
@@ -209,9 +218,9 @@ class Aligned:
         places = np.empty(len(a) + len(b), np.int64)
         places[np.arange(len(a)) + self.first_b[a]] = self.a + most * last_a
         places[np.arange(len(b)) + self.first_a[b + 1]] = self.b + 2 * most * last_b
-        words = list(map(name.__getitem__, places.tolist()))
-        ends = np.cumsum(self.per_text(self.docs_a) + self.per_text(self.docs_b)).tolist()
-        return ["".join(words[i:j])[:-1] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+        ids = list(map(name.__getitem__, places.tolist()))
+        ends = [0, *np.cumsum(self.per_text(self.sizes_a + self.sizes_b)).tolist()]
+        return ["".join(ids[i:j])[:-1] for i, j in pairwise(ends)]
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, A id * width + B id, links) of each id pair of each text, in order."""
@@ -246,6 +255,87 @@ class Aligned:
         return key // radix, key % radix, total
 
 
+class Block:
+    """Figures of a block of texts, from its distinct words' alignment.
+
+    ``word``: the words of all texts in order, as numbers of ``found``'s texts;
+    ``bounds``: where each text's words begin, and the end."""
+
+    def __init__(self, texts: list[str | None], paths: tuple[str, str]):
+        by_word = all(side.by_word for side in _sides(paths))
+        numbers: dict[str, int] = {}
+        edges, parts, bounds = set(), [np.zeros(0, np.int32)], [0]
+        for text in texts:
+            n = bounds[-1]
+            for some in (words(text) if by_word else [[text]]) if text else ():
+                for w in dict.fromkeys(some):
+                    if w not in numbers:
+                        numbers[w] = len(numbers)
+                parts.append(np.fromiter(map(numbers.__getitem__, some), np.int32, len(some)))
+                n += len(some)
+                edges.update(w for w in (some[0], some[-1]) if w[:1].isspace() or w[-1:].isspace())
+            bounds.append(n)
+        # words with white space at an end are apart, so that the others can be encoded together
+        names = [[w for w in numbers if w not in edges], [*edges]]
+        place = np.empty(len(numbers), np.int32)
+        place[[numbers[w] for some in names for w in some]] = np.arange(len(numbers))
+        self.found = [Aligned(some, paths) for some in names]
+        self.word, self.bounds = place[np.concatenate(parts)], np.array(bounds)
+        whole = np.concatenate([f.whole for f in self.found])
+        bad = np.zeros(len(texts), bool)
+        bad[np.searchsorted(self.bounds, np.flatnonzero(~whole[self.word]), "right") - 1] = True
+        # a text with a word that does not come back has no tokens
+        keep = ~np.repeat(bad, np.diff(self.bounds))
+        self.bounds = np.concatenate([[0], np.cumsum(np.diff(self.bounds) * ~bad)])
+        self.word = self.word[keep]
+
+    def sums(self, of) -> np.ndarray:
+        """A figure of each text: the sum of ``of(found)`` over its words."""
+        total = np.concatenate([[0], np.cumsum(np.concatenate([of(f) for f in self.found])[self.word])])
+        return total[self.bounds[1:]] - total[self.bounds[:-1]]
+
+    def digests(self) -> list[str]:
+        """The hash of each text's groups, as ``a1,a2|b1;a3|b2,b3``; '' without any."""
+        names = [w for f in self.found for w in f.written()]
+        out = []
+        for i, j in zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True):
+            digest = hashlib.sha256()
+            for k in range(i, j, SEGMENT_CHARS):
+                part = ";".join(map(names.__getitem__, self.word[k:min(j, k + SEGMENT_CHARS)].tolist()))
+                digest.update((part if k == i else ";" + part).encode())
+            out.append(digest.hexdigest() if j > i else "")
+        return out
+
+    def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, A id * width + B id, links) of each id pair of each text, in order."""
+        first, second = (f.pairs(width) for f in self.found)
+        of = np.concatenate([first[0], second[0] + self.found[0].n])
+        pair, links = (np.concatenate([x, y]) for x, y in zip(first[1:], second[1:], strict=True))
+        n_words = sum(f.n for f in self.found)
+        begin = np.searchsorted(of, np.arange(n_words + 1))
+        docs = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        key, times = np.unique(docs * max(n_words, 1) + self.word, return_counts=True)
+        doc, word = key // max(n_words, 1), key % max(n_words, 1)
+        size = begin[word + 1] - begin[word]
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin[word], size)
+        radix = int(pair.max(initial=0)) + 1
+        key, back = np.unique(np.repeat(doc, size) * radix + pair[at], return_inverse=True)
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, back, links[at] * np.repeat(times, size))
+        return key // radix, key % radix, total
+
+    def groups(self, i: int) -> list[np.ndarray]:
+        """A ids, A sizes, B ids and B sizes of the groups of text ``i``."""
+        out = [[np.zeros(0, np.int64)] for _ in range(4)]
+        for w in self.word[self.bounds[i]:self.bounds[i + 1]].tolist():
+            f, w = (self.found[0], w) if w < self.found[0].n else (self.found[1], w - self.found[0].n)
+            g, h = np.searchsorted(f.doc, [w, w + 1])
+            for held, values in zip(out, (f.a[f.first_a[g]:f.first_a[h]], f.sizes_a[g:h], f.b[f.first_b[g]:f.first_b[h]], f.sizes_b[g:h]),
+                                    strict=True):
+                held.append(values)
+        return [np.concatenate(held) for held in out]
+
+
 _GROUPS = "doc_id long, a_ids array<int>, a_sizes array<int>, b_ids array<int>, b_sizes array<int>"
 _BLOCKS = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
            "groups_sha256 array<string>, n_pairs array<int>, pair_at array<int>, links array<int>, pairs array<long>, holders array<int>")
@@ -263,12 +353,11 @@ def alignment_groups(docs: DataFrame, tokenizers: tuple[str, str] | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
-            found = Aligned(part.column("text").to_pylist(), paths)
-            cut = lambda values, docs: np.split(values.astype(np.int32), np.cumsum(found.per_text(docs))[:-1])  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *[pa.array(cut(v, d), pa.list_(pa.int32())) for v, d in (
-                    (found.a, found.docs_a), (found.sizes_a, found.doc), (found.b, found.docs_b), (found.sizes_b, found.doc))]],
-                names=["doc_id", "a_ids", "a_sizes", "b_ids", "b_sizes"])
+            block = Block(part.column("text").to_pylist(), paths)
+            for i, doc_id in enumerate(part.column("doc_id")):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc_id.as_py()], pa.int64()), *[pa.array([v], pa.list_(pa.int32())) for v in block.groups(i)]],
+                    names=["doc_id", "a_ids", "a_sizes", "b_ids", "b_sizes"])
 
     return _columns(docs).mapInArrow(run, _GROUPS)
 
@@ -284,15 +373,13 @@ def aligned_blocks(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -
     paths = tokenizers or default_tokenizers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = None
         for nth, part in enumerate(slices(batches, "text", SLICE_BYTES)):
-            found = Aligned(part.column("text").to_pylist(), paths)
+            found = Block(part.column("text").to_pylist(), paths)
             doc, pair, links = found.pairs(_width(paths))
             pairs, at = np.unique(pair, return_inverse=True)
-            sha = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in found.written()]
-            values = [part.column("doc_id").to_pylist(), found.per_text(found.docs_a), found.per_text(found.docs_b),
-                      found.per_text(found.doc), found.per_text(found.doc, found.sizes_a * found.sizes_b), sha,
-                      found.per_text(doc), at, links, pairs, np.bincount(at, minlength=len(pairs))]
+            values = [part.column("doc_id").to_pylist(), found.sums(lambda f: f.per_text(f.sizes_a)), found.sums(lambda f: f.per_text(f.sizes_b)),
+                      found.sums(lambda f: f.per_text()), found.sums(lambda f: f.per_text(f.sizes_a * f.sizes_b)), found.digests(),
+                      np.bincount(doc, minlength=part.num_rows), at, links, pairs, np.bincount(at, minlength=len(pairs))]
             long, whole, text = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string())
             types = [long, long, long, long, long, text, whole, whole, whole, long, whole]
             block = (TaskContext.get().partitionId() << 33) + nth

@@ -89,22 +89,27 @@ def test_ranks_equal_the_library_on_every_character():
     assert side.ranks is not None
     points = [c for c in range(0x11000) if not 0xD800 <= c < 0xE000] + list(range(0x1F300, 0x1FB00))
     texts = [f" x{chr(c)}1{chr(c)} {chr(c)}a  {chr(c)}{chr(c)}'s" for c in points]
-    got = side.encode(texts)
     want = A.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-    assert all(g.tolist() == w.ids for g, w in zip(got, want, strict=True))
-
-
-def test_segments_change_no_token():
-    text = ("It's a long text, with  gaps and 42 numbers.\nIt goes on " * 40).strip()
-    a, b = L.SideBytes(PATHS[0]), L.SidePieces(PATHS[1])
-    assert len(L.segments(text, 25)) > 40
-    assert b.by_segment and "".join(" " + s for s in L.segments(text, 25)) == " " + text
-    whole = [side.encode([text])[0].tolist() for side in (a, b)]
-    old, L.SEGMENT_CHARS = L.SEGMENT_CHARS, 25
-    try:
-        assert [side.encode([text])[0].tolist() for side in (a, b)] == whole
-    finally:
-        L.SEGMENT_CHARS = old
+    assert all(side.encode(t).tolist() == w.ids for t, w in zip(texts, want, strict=True))
+
+
+def test_words_change_no_token():
+    """Every word by itself, and all of them at once, give the tokens of the whole text."""
+    text = ("It's a long text, with  gaps and 42 numbers.\nIt goes\u00a0on \x1c " * 40).strip()
+    for side in (L.SideBytes(PATHS[0]), L.SidePieces(PATHS[1])):
+        assert side.by_word
+        for size in (25, None):
+            parts = [w for some in L.words(text, size) for w in some]
+            assert " ".join(parts) == text and len(parts) > 200
+            assert np.concatenate([side.encode(w) for w in parts]).tolist() == side.encode(text).tolist()
+
+
+def test_other_tokenizers_get_whole_texts(docs_of, monkeypatch):
+    """Where cuts between words are not known to be safe, the results are the same."""
+    texts = [t for t in TEXTS if t and len(t) < 100]
+    want = [x.tolist() for x in L.Block(texts, PATHS).pairs(32_000)], L.Block(texts, PATHS).digests()
+    monkeypatch.setattr(L.SideBytes, "by_word", False)
+    assert ([x.tolist() for x in L.Block(texts, PATHS).pairs(32_000)], L.Block(texts, PATHS).digests()) == want
 
 
 def test_links_by_chunks_and_large_groups(monkeypatch):
