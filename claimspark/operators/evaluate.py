@@ -130,3 +130,14 @@ def base_rate(scored: DataFrame, label: str = "label") -> DataFrame:
     """Share of positives: the precision of a random ranking (PR baseline)."""
     return scored.agg(F.try_divide(F.sum(F.col(label)).cast("double"),
                                    F.count(F.col(label)).cast("double")).alias("base_rate"))
+
+
+def grouped_auc_roc(scored: DataFrame, keys: list[str], label: str = "label", score: str = "score") -> DataFrame:
+    """Exact AUC-ROC of each group: cumulative counts per distinct score from one
+    ordered scan for all groups, integer sums divided once. Null where a group has
+    one class only."""
+    per = scored.groupBy(*keys, F.col(score).cast("double").alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
+    s = ordered_scan(per, keys, [("_score", False)], running_sums={"_tp": "_p", "_fp": "_n"})
+    area = F.sum(F.col("_n") * (F.lit(2) * F.col("_tp") - F.col("_p")))
+    return s.groupBy(*keys).agg(F.try_divide(area.cast("double"), (F.lit(2.0) * F.sum("_p") * F.sum("_n"))).alias("auc_roc"))

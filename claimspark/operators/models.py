@@ -1,24 +1,24 @@
-"""Distributed model training, tuning, evaluation and importances (MLlib).
+"""Distributed model training, tuning, evaluation and importances.
 
 Design: the label-free preprocessing (index -> one-hot -> assemble -> scale)
-is fitted once on the training split; classifiers and the cross-validator
-run on the prepared vectors, so tuning does not refit the encoders.
+is fitted once on the training split; classifiers run on the prepared vectors, so
+tuning does not refit the encoders. Logistic regression is MLlib's; forests
+(``forest``) and boosted trees (``boosting``) grow from one binned copy.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from claimspark.operators import boosting, forest
 from claimspark.operators.features import encoding_stages
+from claimspark.operators.histograms import Ensemble, bin_edges, land_blocks, score_rows
 from claimspark.schemas import LABEL
 
 FEATURES = "scaled_features"
@@ -28,19 +28,22 @@ WEIGHT = "class_weight"
 LR_PARAMS = dict(maxIter=100, regParam=0.01, elasticNetParam=0.1)
 RF_GRID = {"numTrees": [100, 150], "maxDepth": [8, 10], "maxBins": [48]}
 RF_FOLDS = 3
-GBT_PARAMS = dict(maxIter=300, maxDepth=8, stepSize=0.05, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8")
+GBT_PARAMS = dict(trees=300, depth=8, rate=0.05, subsample=0.8, features=0.8)
 SEED = 42
-# Execution-only settings for tree learners (do not change the fitted model):
-# cache node ids between levels and give histogram aggregation more room.
-TREE_EXEC = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
+#: Bins of a feature for boosted trees.
+GBT_BINS = 64
 
 
-def add_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """weight = negatives / max(positives, 1) for label 1, else 1.0 (one aggregate)."""
+def class_ratio(df: DataFrame, label: str = LABEL) -> float:
+    """Negatives / max(positives, 1), the weight of class 1 (one aggregate)."""
     r = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    ratio = r["n"] / max(r["p"], 1)
-    return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0)))
+    return float(r["n"] / max(r["p"], 1))
+
+
+def add_class_weights(df: DataFrame, label: str = LABEL, ratio: float | None = None) -> DataFrame:
+    """weight = ``class_ratio`` for label 1, else 1.0."""
+    ratio = class_ratio(df, label) if ratio is None else ratio
+    return df.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0)))
 
 
 def fit_preprocessing(train: DataFrame) -> PipelineModel:
@@ -63,44 +66,44 @@ def logistic_regression(**overrides) -> LogisticRegression:
                               rawPredictionCol="raw_prediction", **{**LR_PARAMS, **overrides})
 
 
-def random_forest(**overrides) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT,
-                                  rawPredictionCol="raw_prediction", seed=SEED, **{**TREE_EXEC, **overrides})
+def blocks_of(prepared: DataFrame, bins: int) -> tuple[DataFrame, list]:
+    """The binned training rows, landed, and the bins' edges."""
+    edges = bin_edges(prepared, FEATURES, "claim_id", bins)
+    return land_blocks(prepared, FEATURES, LABEL, "claim_id", edges), edges
 
 
-def gradient_boosted_trees(**overrides) -> GBTClassifier:
-    return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=SEED,
-                         **{"maxMemoryInMB": 1024, **GBT_PARAMS, **overrides})
+def tune_random_forest(prepared_train: DataFrame, names: list[str], ratio: float, grid: dict | None = None,
+                       folds: int = RF_FOLDS) -> forest.Tuned:
+    """Grid search x k-fold CV on AUC-ROC; all forests grow in the same passes."""
+    grid = grid or RF_GRID
+    blocks, edges = blocks_of(prepared_train, max(grid["maxBins"]))
+    return forest.tune(blocks, names, edges, grid, folds, (1.0, ratio), SEED)
 
 
-def tune_random_forest(prepared_train: DataFrame, grid: dict | None = None, folds: int = RF_FOLDS,
-                       parallelism: int = 2):
-    """Grid search x k-fold CV on AUC-ROC; returns the CrossValidatorModel."""
-    rf = random_forest()
-    g = grid or RF_GRID
-    builder = ParamGridBuilder()
-    for name, values in g.items():
-        builder = builder.addGrid(getattr(rf, name), values)
-    cv = CrossValidator(
-        estimator=rf, estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="raw_prediction",
-                                                metricName="areaUnderROC"),
-        numFolds=folds, parallelism=parallelism, seed=SEED)
-    return cv.fit(prepared_train)
+def gradient_boosted_trees(prepared_train: DataFrame, names: list[str], ratio: float, bins: int = GBT_BINS, **params) -> Ensemble:
+    blocks, edges = blocks_of(prepared_train, bins)
+    return boosting.fit(blocks, names, edges, (1.0, ratio), boosting.Boosting(bins=bins, seed=SEED, **{**GBT_PARAMS, **params}))
 
 
-def best_params(cv_model) -> dict:
-    m = cv_model.bestModel
-    return {"numTrees": m.getNumTrees, "maxDepth": m.getOrDefault("maxDepth"),
-            "maxBins": m.getOrDefault("maxBins")}
+def best_params(tuned: forest.Tuned) -> dict:
+    return dict(tuned.best)
 
 
-def score(model, prepared: DataFrame) -> DataFrame:
-    """Slim scored frame: key, label, P(readmit), hard prediction."""
+def probabilities(model, prepared: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, the raw prediction that rows are ranked by, and P(class 1)."""
+    if isinstance(model, Ensemble):
+        out = score_rows(prepared, model, FEATURES, keep)
+        p = F.col("output") if model.kind == "forest" else F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("output")))
+        return out.select(*keep, F.col("output").alias("raw_prediction"), p.alias("p"))
     p = model.transform(prepared)
-    raw = "raw_prediction" if "raw_prediction" in p.columns else "rawPrediction"
-    return p.select("claim_id", F.col(LABEL).cast("double").alias(LABEL), raw, "prediction",
-                    vector_to_array("probability")[1].alias("p_readmit"))
+    return p.select(*keep, vector_to_array("raw_prediction")[1].alias("raw_prediction"), vector_to_array("probability")[1].alias("p"))
+
+
+def score(model, prepared: DataFrame) -> DataFrame:
+    """Slim scored frame: key, label, raw prediction, P(readmit), hard prediction."""
+    return probabilities(model, prepared, ["claim_id", LABEL]).select(
+        "claim_id", F.col(LABEL).cast("double").alias(LABEL), "raw_prediction",
+        (F.col("p") > 0.5).cast("double").alias("prediction"), F.col("p").alias("p_readmit"))
 
 
 def evaluate(model, prepared_test: DataFrame, name: str) -> DataFrame:
@@ -109,7 +112,7 @@ def evaluate(model, prepared_test: DataFrame, name: str) -> DataFrame:
     Output: (model, metric, value) with values rounded to 4 digits.
     """
     s = score(model, prepared_test).persist(StorageLevel.MEMORY_AND_DISK)
-    raw = "raw_prediction" if "raw_prediction" in s.columns else "rawPrediction"
+    raw = "raw_prediction"
     try:
         vals = {
             "auc_roc": BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=raw,
@@ -135,7 +138,7 @@ def feature_importance(classifier, names: list[str], kind: str) -> DataFrame:
     if kind == "linear":
         vals = [abs(float(v)) for v in classifier.coefficients.toArray()]
     else:
-        vals = [float(v) for v in classifier.featureImportances.toArray()]
+        vals = [float(v) for v in classifier.importances()]
     rows = [(n, round(v, 6)) for n, v in zip(names, vals)]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature"))
@@ -154,8 +157,3 @@ def compare_models(metrics: DataFrame) -> DataFrame:
            .select("metric", F.col("model").alias("winner")))
     return wide.join(win, "metric")
 
-
-def timed_fit(estimator, df: DataFrame):
-    t = time.time()
-    m = estimator.fit(df)
-    return m, time.time() - t

@@ -944,6 +944,7 @@ def q_rf_cv(spark, sf):
 
     p = _prepared(spark, sf)
     cv = training.fit(p, "random_forest")
+    # the best parameters, then the mean AUC of each combination in grid order
     rows = [(k, float(v)) for k, v in M.best_params(cv).items()]
     rows += [(f"cv_auc_{i}", float(a)) for i, a in enumerate(cv.avgMetrics)]
     return spark.createDataFrame(rows, "param string, value double")
@@ -1139,7 +1140,7 @@ def _rf_phis(spark, sf):
     if key not in _STATE:
         from claimspark.session import materialize
 
-        phis, base = treeshap.explain_trees(p.ptest, _model(spark, sf, "random_forest"), "random_forest", p.names)
+        phis, base = treeshap.explain_trees(p.ptest, _model(spark, sf, "random_forest"))
         _STATE[key] = (materialize(phis, "rf-shap"), base)
     return _STATE[key]
 

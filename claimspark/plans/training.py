@@ -16,9 +16,9 @@ from claimspark.operators.sampling import with_split
 from claimspark.session import shared_path
 
 
-#: Partitions of the training rows. MLlib's tree learners draw their samples by
-#: partition, so this is part of the model: it is fixed and stored with the results.
-TRAIN_PARTITIONS = 32
+#: Rows of a training partition. The number of partitions follows from the table
+#: alone, so a model does not hang on the cluster; it is stored with the results.
+TRAIN_ROWS = 32_768
 
 
 @dataclass
@@ -31,11 +31,12 @@ class Prepared:
     names: list[str]
     incomplete: DataFrame
     train_partitions: int
+    ratio: float
     models: dict = field(default_factory=dict)
 
 
 def prepare(features: DataFrame, train_fraction: float = 0.8, seed: int = 42,
-            landing: str | None = None, train_partitions: int = TRAIN_PARTITIONS) -> Prepared:
+            landing: str | None = None, train_rows: int = TRAIN_ROWS) -> Prepared:
     """Fill and hash-split the feature table; land it as Parquet in the shared
     folder (cuts lineage; survives executor loss); split off the rows that
     cannot be encoded; weight the classes from the landed labels; fit the
@@ -45,26 +46,29 @@ def prepare(features: DataFrame, train_fraction: float = 0.8, seed: int = 42,
     with_split(model_inputs(features), train_fraction, seed) \
         .write.mode("overwrite").partitionBy("split").parquet(landing)
     landed = spark.read.parquet(landing)
-    df = M.add_class_weights(complete_rows(landed))
-    # By key, in order and in a fixed number: the fitted trees do not depend on the cluster.
+    complete = complete_rows(landed)
+    train_partitions = max(1, -(-complete.count() // train_rows))
+    ratio = M.class_ratio(complete)
+    df = M.add_class_weights(complete, ratio=ratio)
+    # By key, in order and in a number that the cluster does not decide.
     train = df.where("split = 'train'").repartition(train_partitions, "claim_id").sortWithinPartitions("claim_id")
     test = df.where("split = 'test'").repartition(train_partitions, "claim_id")
     pre = M.fit_preprocessing(train)
     ptrain = pre.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     ptest = pre.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(train, test, pre, ptrain, ptest, M.feature_names(ptrain, "raw_features"),
-                    incomplete_rows(landed), train_partitions)
+                    incomplete_rows(landed), train_partitions, ratio)
 
 
 def fit(p: Prepared, kind: str, rf_grid: dict | None = None, gbt_params: dict | None = None):
     if kind in p.models:
         return p.models[kind]
     if kind == "logistic_regression":
-        model, _ = M.timed_fit(M.logistic_regression(), p.ptrain)
+        model = M.logistic_regression().fit(p.ptrain)
     elif kind == "random_forest":
-        model = M.tune_random_forest(p.ptrain, rf_grid)
+        model = M.tune_random_forest(p.ptrain, p.names, p.ratio, rf_grid)
     elif kind == "gradient_boosted_trees":
-        model, _ = M.timed_fit(M.gradient_boosted_trees(**(gbt_params or {})), p.ptrain)
+        model = M.gradient_boosted_trees(p.ptrain, p.names, p.ratio, **(gbt_params or {}))
     else:
         raise ValueError(kind)
     p.models[kind] = model
@@ -101,6 +105,5 @@ def run_training(features: DataFrame, kinds=("logistic_regression", "random_fore
     R.save_results(out_dir, metrics, params, imps)
     auc_pr = {r["model"]: r["value"] for r in metrics.where("metric = 'auc_pr'").collect()}
     winner = max(kinds, key=lambda k: (auc_pr.get(k, float("-inf")), -kinds.index(k)))
-    R.save_model(PipelineModel(stages=[*p.preprocessing.stages, classifier(p.models[winner])]),
-                 f"{out_dir}/model")
+    R.save_fitted(features.sparkSession, p.preprocessing, classifier(p.models[winner]), f"{out_dir}/model")
     return p, metrics, out_dir, winner

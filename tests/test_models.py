@@ -1,4 +1,4 @@
-"""MLlib training, evaluation, attribution and scoring on the smallest tables."""
+"""Training, evaluation, attribution and scoring on the smallest tables."""
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -37,8 +37,8 @@ def test_lr_and_attributions(spark, prepared):
 
 
 def test_small_forest_not_constant(spark, prepared):
-    rf = M.random_forest(numTrees=5, maxDepth=4).fit(prepared.ptrain)
-    s = M.score(rf, prepared.ptest)
+    rf = M.tune_random_forest(prepared.ptrain, prepared.names, prepared.ratio, {"numTrees": [5], "maxDepth": [4], "maxBins": [48]}, folds=0)
+    s = M.score(rf.bestModel, prepared.ptest)
     assert s.select(F.countDistinct("p_readmit")).first()[0] > 1
 
 
@@ -70,15 +70,25 @@ def test_results_roundtrip(spark, prepared, tmp_path):
 def test_tree_shap_local_accuracy(spark, prepared, kind):
     from claimspark.operators import treeshap
 
-    est = (M.random_forest(numTrees=4, maxDepth=4) if kind == "random_forest"
-           else M.gradient_boosted_trees(maxIter=4, maxDepth=3))
-    model = est.fit(prepared.ptrain)
+    if kind == "random_forest":
+        grid = {"numTrees": [4], "maxDepth": [4], "maxBins": [16]}
+        model = M.tune_random_forest(prepared.ptrain, prepared.names, prepared.ratio, grid, folds=0).bestModel
+    else:
+        model = M.gradient_boosted_trees(prepared.ptrain, prepared.names, prepared.ratio, trees=4, depth=3)
     rows = prepared.ptest.orderBy("claim_id").limit(40)
-    phis, base = treeshap.explain_trees(rows, model, kind, prepared.names)
+    phis, base = treeshap.explain_trees(rows, model)
     total = {r["claim_id"]: r[1] for r in phis.groupBy("claim_id").agg(F.sum("phi")).collect()}
-    raw = "raw_prediction" if kind == "random_forest" else "rawPrediction"
-    out = model.transform(rows).select(
-        "claim_id", vector_to_array("probability")[1].alias("p"), vector_to_array(raw)[1].alias("m"))
+    out = M.probabilities(model, rows, ["claim_id"])
     for r in out.collect():
-        target = r["p"] if kind == "random_forest" else r["m"]
-        assert base + total[r["claim_id"]] == pytest.approx(target, abs=1e-9)
+        assert base + total[r["claim_id"]] == pytest.approx(r["raw_prediction"], abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosted_trees"])
+def test_a_stored_ensemble_scores_as_before(spark, prepared, tmp_path, kind):
+    grid = {"numTrees": [3], "maxDepth": [4], "maxBins": [16]}
+    model = training.classifier(training.fit(prepared, kind, grid, {"trees": 3, "depth": 3}))
+    prepared.models.pop(kind)
+    R.save_fitted(spark, prepared.preprocessing, model, str(tmp_path / "m"))
+    _, again = R.load_fitted(spark, str(tmp_path / "m"))
+    rows = lambda m: sorted(map(tuple, M.probabilities(m, prepared.ptest, ["claim_id"]).collect()))
+    assert rows(again) == rows(model)

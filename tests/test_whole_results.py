@@ -42,7 +42,7 @@ def half(spark):
     """Training inputs when half the patients are unknown."""
     claims, patients = adapter.load(spark, SF)
     table = pipelines.feature_table(claims, patients.where("CAST(patient_id AS BIGINT) % 2 = 0"))
-    return training.prepare(table, train_partitions=4)
+    return training.prepare(table, train_rows=1200)
 
 
 def test_incomplete_rows_are_split_off_and_counted(half):
@@ -88,11 +88,12 @@ def test_a_batch_that_runs_again_repeats_no_row(spark, half, tmp_path):
 
 
 def test_trees_do_not_depend_on_the_input_partitions(spark, half):
-    rows = half.train.drop("weight").cache()
-    found = []
+    grid, found = {"numTrees": [4], "maxDepth": [4], "maxBins": [16]}, []
     for n in (2, 8):
-        again = M.add_class_weights(rows.repartition(n)).repartition(4, "claim_id").sortWithinPartitions("claim_id")
-        found.append(M.random_forest(numTrees=4, maxDepth=4).fit(half.preprocessing.transform(again)).featureImportances)
+        again = half.ptrain.repartition(n)
+        rf = M.tune_random_forest(again, half.names, half.ratio, grid, folds=2)
+        gbt = M.gradient_boosted_trees(again, half.names, half.ratio, trees=3, depth=4)
+        found.append([rf.avgMetrics, *(a.tolist() for m in (rf.bestModel, gbt) for a in (m.feature, m.cut, m.value))])
     assert found[0] == found[1]
 
 
