@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from claimspark.session import materialize
 
 #: Rows whose quantiles are the bin edges: those with the smallest hashes, about so many.
-EDGE_ROWS = 65_536
+EDGE_ROWS = 20_000
 #: Rows of a block, and of a task while there are fewer tasks than twice the cores.
 BLOCK_ROWS, TASK_ROWS = 65_536, 16_384
 #: Rows of a task at most, where there are many.
@@ -87,12 +87,13 @@ def _packed(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["bins", "keys", "labels"])
 
 
-def land_blocks(prepared: DataFrame, features: str, label: str, key: str, edges: list[np.ndarray]) -> DataFrame:
+def land_blocks(prepared: DataFrame, features: str, label: str, key: str, edges: list[np.ndarray],
+                task_rows: int = TASK_ROWS) -> DataFrame:
     """The binned rows, landed: one row a block with ``bins`` (row by row), ``keys``
     (64-bit hashes of the key) and ``labels`` as bytes."""
     width, n = len(edges), prepared.count()
     cores = prepared.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(-(-n // TASK_ROWS), 2 * cores), -(-n // MOST_TASK_ROWS))
+    tasks = max(1, min(-(-n // task_rows), 2 * cores), -(-n // MOST_TASK_ROWS))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0

@@ -18,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from claimspark.operators import boosting, forest
 from claimspark.operators.features import encoding_stages
-from claimspark.operators.histograms import Ensemble, bin_edges, land_blocks, score_rows
+from claimspark.operators.histograms import TASK_ROWS, Ensemble, bin_edges, land_blocks, score_rows
 from claimspark.schemas import LABEL
 
 FEATURES = "scaled_features"
@@ -66,22 +66,23 @@ def logistic_regression(**overrides) -> LogisticRegression:
                               rawPredictionCol="raw_prediction", **{**LR_PARAMS, **overrides})
 
 
-def blocks_of(prepared: DataFrame, bins: int) -> tuple[DataFrame, list]:
-    """The binned training rows, landed, and the bins' edges."""
+def blocks_of(prepared: DataFrame, bins: int, task_rows: int) -> tuple[DataFrame, list]:
+    """The binned training rows, landed, and the bins' edges. A forest's passes do the
+    work of all its trees, so their tasks are smaller than those of boosting."""
     edges = bin_edges(prepared, FEATURES, "claim_id", bins)
-    return land_blocks(prepared, FEATURES, LABEL, "claim_id", edges), edges
+    return land_blocks(prepared, FEATURES, LABEL, "claim_id", edges, task_rows), edges
 
 
 def tune_random_forest(prepared_train: DataFrame, names: list[str], ratio: float, grid: dict | None = None,
                        folds: int = RF_FOLDS) -> forest.Tuned:
     """Grid search x k-fold CV on AUC-ROC; all forests grow in the same passes."""
     grid = grid or RF_GRID
-    blocks, edges = blocks_of(prepared_train, max(grid["maxBins"]))
+    blocks, edges = blocks_of(prepared_train, max(grid["maxBins"]), TASK_ROWS // 8)
     return forest.tune(blocks, names, edges, grid, folds, (1.0, ratio), SEED)
 
 
 def gradient_boosted_trees(prepared_train: DataFrame, names: list[str], ratio: float, bins: int = GBT_BINS, **params) -> Ensemble:
-    blocks, edges = blocks_of(prepared_train, bins)
+    blocks, edges = blocks_of(prepared_train, bins, TASK_ROWS)
     return boosting.fit(blocks, names, edges, (1.0, ratio), boosting.Boosting(bins=bins, seed=SEED, **{**GBT_PARAMS, **params}))
 
 
