@@ -5,8 +5,8 @@ proportional fitting scales the cells' token weights until each marginal has
 its target share of the budget; a cell's weight never exceeds its tokens, so
 the quotient is a probability, and each document is sampled with its cell's.
 
-The cells are a Spark table: a sweep is one aggregate a marginal joined back
-on its value, written after each sweep. Documents are only scanned: once for
+The cells are a Spark table: a sweep scales by window sums over it and is
+written at its end. Documents are only scanned: once for
 the cells' tokens, once to be sampled by a hash of doc_id.
 
 Defined results
@@ -14,14 +14,14 @@ Defined results
   null or empty text: 0 tokens, topic ``prose``; sampled at its cell's
   probability (a cell without tokens: the budget's share)
   targets that cannot be met (too few tokens): the cells go in whole, the rest
-  of the budget is spread over the others; see ``marginals`` for what came out
+  of the budget is spread over the others; ``error`` says how far off they are
   repeated rows of one doc_id: all or none; null doc_id: decided by the text
   empty table: no rows; extra columns of the input stay in ``row``
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimspark.session import materialize
@@ -70,27 +70,31 @@ def smoothed_targets(cells: DataFrame, dimension: str, power: float) -> DataFram
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float = BUDGET, sweeps: int = SWEEPS,
          tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (the dimensions, tokens) with ``weight``: expected sampled tokens.
-
-    targets: by dimension, value and share of the budget."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    """``cells`` (the dimensions, tokens) with ``weight``, expected sampled tokens, and
+    ``error``, the largest difference of a reached share from its target: above
+    ``tolerance`` if a cell has too few tokens for the targets or the sweeps ran out.
+
+    targets: by dimension, value and share of the budget. They are joined to the cells
+    once; a sweep scales by window sums over the cell table, so that nothing is
+    broadcast, however many sweeps there are."""
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0) * budget
     now = cells.withColumn("weight", F.col("tokens") * F.lit(budget))
-    worst_before = None
+    for d, target in targets.items():
+        target = target.select(F.col("value").alias(f"_{d}"), F.col("share").alias(f"share_{d}"))
+        now = now.join(target.hint("merge"), F.col(d).eqNullSafe(F.col(f"_{d}")), "left").drop(f"_{d}")
+    reached = lambda d: F.sum("weight").over(Window.partitionBy(d))
+    off = [F.abs(reached(d) / F.lit(total or 1.0) - F.col(f"share_{d}")) for d in targets]
+    worst = before = None
     for _ in range(sweeps):
-        for dimension, target in targets.items():
-            sums = now.groupBy(dimension).agg(F.sum("weight").alias("sum"))
-            factor = sums.join(target, F.col(dimension).eqNullSafe(F.col("value"))) \
-                .select("value", F.when(F.col("sum") > 0, F.col("share") * (budget * total) / F.col("sum")).otherwise(1.0).alias("factor"))
-            now = now.join(factor, F.col(dimension).eqNullSafe(F.col("value")), "left") \
-                .withColumn("weight", F.least(F.col("tokens").cast("double"), F.col("weight") * F.coalesce("factor", F.lit(1.0)))) \
-                .drop("value", "factor")
+        for d in targets:
+            factor = F.when(reached(d) > 0, F.col(f"share_{d}") * F.lit(total) / reached(d)).otherwise(1.0)
+            now = now.withColumn("weight", F.least(F.col("tokens").cast("double"), F.col("weight") * F.coalesce(factor, F.lit(1.0))))
         now = materialize(now, "cells")
-        worst = max([0.0, *(r[0] or 0.0 for d, t in targets.items() for r in marginals(now, d, t, budget * total)
-                            .agg(F.max(F.abs(F.col("reached") - F.col("share")))).collect())])
-        if worst <= tolerance or worst_before is not None and abs(worst - worst_before) <= tolerance / 10:
+        worst = now.select(F.greatest(*off, F.lit(0.0)).alias("off")).agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance or before is not None and abs(worst - before) <= tolerance / 10:
             break  # met, or as near as the cells' tokens allow
-        worst_before = worst
-    return now
+        before = worst
+    return now.drop(*[f"share_{d}" for d in targets]).withColumn("error", F.lit(worst))
 
 
 def marginals(cells: DataFrame, dimension: str, target: DataFrame, budget_tokens: float) -> DataFrame:
@@ -101,13 +105,13 @@ def marginals(cells: DataFrame, dimension: str, target: DataFrame, budget_tokens
 
 
 def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """``row``, the cell, tokens, ``probability`` and ``sampled`` of every document."""
+    """``row``, the cell, tokens, ``probability``, ``sampled`` and the targets' ``error`` of every document."""
     rows = with_cells(docs)
     cells = materialize(rows.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")), "cells")
     if targets is None:
         targets = {d: materialize(smoothed_targets(cells, d, p), "targets") for d, p in SMOOTHING.items()}
     found = rake(cells, targets, budget).select(
-        F.col("source").alias("s"), F.col("lang").alias("l"), F.col("topic").alias("t"),
+        F.col("source").alias("s"), F.col("lang").alias("l"), F.col("topic").alias("t"), "error",
         F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(float(budget))).alias("probability"))
     same = F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("l")) & (F.col("topic") == F.col("t"))
     key = F.coalesce(F.col("row.doc_id").cast("string"), F.md5(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")))

@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_raked_mixture")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.calibrated(docs).where("sampled").select("row.doc_id", "source", "lang", "topic", "tokens", "probability")
+    return mixing.calibrated(docs).where("sampled").select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "error")
 
 
 def _op2_sql() -> str:
