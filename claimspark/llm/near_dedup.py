@@ -47,6 +47,8 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 #: Members that are compared with one copy of their leader's set.
 MEMBERS_PER_HEAD = 500
+#: Members of a group in one deal of the search for pairs within it.
+GROUP_ROWS = 4096
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _U = np.uint64
@@ -238,17 +240,25 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     away = 1 - F.col("same") / (F.col("n") + F.col("n_head") - F.col("same"))
     group = group.withColumn("away", away).select("head", "member", "same", "n", "label", "away")
     other = group.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]])
-    apart = (F.col("member") < F.col("o_member")) & (F.col("label") != F.col("o_label")) \
+    # two components differ in at least one that is not the group's largest: only its members look for partners
+    main = group.groupBy("head", "label").agg(F.count("*").alias("size")).groupBy("head").agg(
+        F.max_by("label", F.struct("size", "label")).alias("main"))
+    apart = (F.col("label") != F.col("o_label")) \
         & (F.abs(F.col("away") - F.col("o_away")) <= 1 - percent / 100 + 1e-9)  # the distance is a metric
     both = percent * (F.col("n") + F.col("o_n"))
+    pair = [F.least("member", "o_member").alias("member"), F.greatest("member", "o_member").alias("o_member")]
     # first kind: each one's size is at most what the other's part in the head allows
     most = F.floor(near * F.col("same") / percent) - F.col("n")
     small = group.groupBy("head").agg(F.min("n").alias("least"))
     part = group.join(small, "head").where(most >= F.col("least")).drop("least")
-    mixed = part.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
+    mixed = part.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed"), F.count("*").alias("size")).where("mixed") \
+        .join(main, "head").select("head", "main", F.ceil(F.col("size") / GROUP_ROWS).cast("int").alias("deals"))
     part = part.join(mixed, "head")
-    first = part.join(part.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]]), "head") \
-        .where(apart & (near * F.least("same", "o_same") >= both)).select("member", "o_member")
+    # a large group is dealt out; the few members of other components go to every deal
+    few = part.where("label <> main").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("main", "deals")
+    dealt = part.select("head", F.expr("pmod(xxhash64(member), deals)").cast("int").alias("deal"),
+                        *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]])
+    first = few.join(dealt, ["head", "deal"]).where(apart & (near * F.least("same", "o_same") >= both)).select(*pair)
     # second kind: a member needs at least ``need`` shared shingles outside, so one of them is among
     # its first (outside - need + 1) by rarity in the group; common ones come last and find no pairs
     own = outside(group.where("head <> member").select("head", "member"), sets)
@@ -260,9 +270,9 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where((F.col("order") <= F.col("n") - F.col("same") - need + 1) & (F.col("seen") > 1))
     rare = materialize(first_ones.select("head", "member", "shingle", "label"), "outside")
     twin = rare.withColumnsRenamed({"member": "o_member", "label": "o_label"})
-    second = rare.join(twin, ["head", "shingle"]).where("member < o_member and label <> o_label") \
+    second = rare.join(main, "head").where("label <> main").join(twin, ["head", "shingle"]).where("label <> o_label") \
         .select("head", "member", "o_member").distinct() \
-        .join(group, ["head", "member"]).join(other, ["head", "o_member"]).where(apart).select("member", "o_member")
+        .join(group, ["head", "member"]).join(other, ["head", "o_member"]).where(apart).select(*pair)
     return first.unionByName(second).distinct().select(F.col("member").alias("head"), F.col("o_member").alias("member"))
 
 
@@ -291,10 +301,10 @@ def components(edges: DataFrame) -> DataFrame:
     while state != before and state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         before, state = state, mark(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")) \

@@ -137,3 +137,22 @@ def test_better_head_that_already_heads_another_group(spark, docs_of):
     want = {d: c for d, _, c in brute(rows, 1, 80)}
     assert {(a, b) for a in want for b in want if want[a] == want[b]} == \
         {(a, b) for a in want for b in want if labels.get(a, a) == labels.get(b, b)}
+
+
+def test_all_of_the_small_tables_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = got(N.near_duplicates(docs, 2, 80))
+    assert found == brute(rows, 2, 80) and sum(d != c for d, _, c in found) > 50
+
+
+def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """One large component and one member apart: every pair asked for has that member in it, in any number of deals."""
+    rows = [("h", f"m{i:03}", 95, 100, 100, "a") for i in range(400)] + [("h", "odd", 80, 80, 100, "odd")]
+    group = spark.createDataFrame(rows, "head string, member string, same long, n long, n_head long, label string")
+    nothing = spark.createDataFrame([], "head string, member string, shingle long")
+    monkeypatch.setattr(N, "outside", lambda pairs, sets: nothing)
+    for size in (4096, 30):
+        monkeypatch.setattr(N, "GROUP_ROWS", size)
+        pairs = [(r["head"], r["member"]) for r in N.rest_pairs(group, None, 80).collect()]
+        assert sorted(pairs) == [(f"m{i:03}", "odd") for i in range(400)]
