@@ -1097,40 +1097,63 @@ def q_scoring_inputs(spark, sf):
     return scoring.scoring_inputs(new, scoring.fit_history(past), past)
 
 
-def _score_new(spark, sf):
-    """Claims from 1998 on, scored by the saved LR pipeline: validation, timeline
-    and rates from the earlier claims, probability, risk score and tier."""
+def _trained_history(spark, sf):
+    """Rates and means of the claims that the model was trained on."""
+    from claimspark.operators import scoring
+
+    return scoring.fit_history(sampling.with_split(_claims(spark, sf)).where("split = 'train'"))
+
+
+def _score_all(spark, sf):
+    """Every claim, scored by the saved and loaded LR pipeline: validation, the timeline
+    of its patient's earlier claims, known rates, probability, risk score and tier."""
     from claimspark.operators import scoring
     from claimspark.sources import results as R
-    from pyspark.ml import PipelineModel
 
     p = _prepared(spark, sf)
     path = shared_path(spark, "scoring-model")
-    R.save_model(PipelineModel(stages=[*p.preprocessing.stages, _model(spark, sf, "logistic_regression")]), path)
-    loaded = R.load_model(path)
-    pre, clf = PipelineModel(stages=loaded.stages[:-1]), loaded.stages[-1]
+    R.save_fitted(spark, p.preprocessing, _model(spark, sf, "logistic_regression"), path)
+    pre, clf = R.load_fitted(spark, path)
     c = _claims(spark, sf)
-    past = c.where(F.col("admit_date") < F.lit(_HISTORY_CUT).cast("date"))
-    new = c.where(F.col("admit_date") >= F.lit(_HISTORY_CUT).cast("date"))
-    scored, _rejected = scoring.score_claims(new, pre, clf, scoring.fit_history(past), past=past)
+    # no claims before the table's own: each one's past is its patient's earlier claims in it
+    scored, _rejected = scoring.score_claims(c, pre, clf, _trained_history(spark, sf), past=c.limit(0))
     return scored
 
 
 @register("score_claims")
 def q_score_claims(spark, sf):
-    """Batch scoring of new claims: probability, risk score, tier, summary."""
-    return _score_new(spark, sf)
+    """Batch scoring of every claim: probability, risk score, tier, summary."""
+    return _score_all(spark, sf)
 
 
 @register("scored_summary", oracle(f"""
 SELECT claim_id, age, diagnosis_code AS diagnosis, facility_type, claim_amount, comorbidity_count
-FROM claims WHERE admit_date >= DATE '{_HISTORY_CUT}' AND {_rules_sql()} = ''"""))
+FROM claims WHERE {_rules_sql()} = ''"""))
 def q_scored_summary(spark, sf):
     """The input summary of every scored claim."""
-    return _score_new(spark, sf).select("claim_id", "input_summary.*") \
+    return _score_all(spark, sf).select("claim_id", "input_summary.*") \
         .withColumn("claim_amount", F.col("claim_amount").cast("decimal(18,2)"))
 
 
+@register("scored_checks", oracle(f"""
+SELECT claim_id, TRUE AS in_range, TRUE AS score_fits, TRUE AS tier_fits FROM claims WHERE {_rules_sql()} = ''"""))
+def q_scored_checks(spark, sf):
+    """Whether each claim's probability, risk score and tier agree: the score is the
+    probability in hundredths (both rounded), the tier that of its range."""
+    from claimspark.schemas import RISK_TIER_BOTTOM, RISK_TIERS
+
+    p, s = F.col("readmission_probability"), F.col("risk_score")
+    names = [(label, lower) for lower, label in RISK_TIERS] + [(RISK_TIER_BOTTOM, 0.0)]
+    above = 1.0
+    fits = F.lit(False)
+    for label, lower in names:
+        # a rounded probability may touch the bound of the tier above
+        fits = fits | ((F.col("risk_tier") == label) & (p >= lower) & (p <= above))
+        above = lower
+    return _score_all(spark, sf).select("claim_id", p.between(0, 1).alias("in_range"),
+                                        (F.abs(s - 100 * p) <= 0.0551).alias("score_fits"), fits.alias("tier_fits"))
+
+
 def _rf_phis(spark, sf):
     """TreeSHAP of the tuned random forest's P(readmit) on every test row."""
     from claimspark.operators import treeshap
@@ -1159,27 +1182,58 @@ def q_explain_tree_top(spark, sf):
     from claimspark.operators import explain
     from claimspark.operators import models as M
 
+    from claimspark.operators import treeshap
+
     p = _prepared(spark, sf)
-    phis, base = _rf_phis(spark, sf)
-    scored = M.score(_model(spark, sf, "random_forest"), p.ptest)
+    model = _model(spark, sf, "random_forest")
+    scored = M.score(model, p.ptest)
+    phis, base = treeshap.explain_trees(explain.highest_row(p.ptest, scored), model)
     return explain.top_row_explanation(phis, scored, 12).withColumn("base_value", F.lit(base))
 
 
+def _claim_files(spark, sf, files: int = 4) -> str:
+    """The claims as files in the order of their dates, ``files`` for each year."""
+    claims, src = _claims(spark, sf), shared_path(spark, "incoming-claims")
+    year = F.year("admit_date")
+    for (y,) in claims.select(year).distinct().orderBy(year).collect():
+        claims.where(year.eqNullSafe(F.lit(y))).repartition(files).write.mode("append").parquet(src)
+    return src
+
+
+@register("stream_claim_timeline", oracle("""
+SELECT claim_id, CAST(SUM(claim_amount) OVER near AS DOUBLE) AS rolling_cost_90d, COUNT(claim_id) OVER near AS claim_count_90d,
+       CAST(date_diff('day', LAG(admit_date) OVER own, admit_date) AS INTEGER) AS days_since_last_claim,
+       LAG(denial_flag) OVER own AS prev_denial_flag, LAG(claim_amount) OVER own AS prev_claim_amount,
+       CAST(ROW_NUMBER() OVER own AS INTEGER) AS claim_sequence FROM claims
+WINDOW own AS (PARTITION BY patient_id ORDER BY admit_date, claim_id),
+       near AS (PARTITION BY patient_id ORDER BY admit_date RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW)"""))
+def q_stream_timeline(spark, sf):
+    """The timeline of every claim from a stream's keyed state, a micro-batch a year;
+    the same as window functions over the whole table."""
+    from claimspark.streaming.scoring import claim_stream
+    from claimspark.streaming.timeline import add_timeline
+
+    stream = claim_stream(spark, _claim_files(spark, sf), _claims(spark, sf).schema, max_files_per_trigger=4)
+    out = shared_path(spark, "streamed-timeline")
+    q = add_timeline(stream).writeStream.format("parquet").outputMode("append").option("path", out) \
+        .option("checkpointLocation", shared_path(spark, "timeline-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out).select("claim_id", F.col("rolling_cost_90d").cast("double").alias("rolling_cost_90d"), "claim_count_90d", "days_since_last_claim", "prev_denial_flag",
+                                          "prev_claim_amount", "claim_sequence")
+
+
 @register("stream_score_claims")
 def q_stream_score(spark, sf):
-    """Structured Streaming scorer over the landed claim files (availableNow
-    trigger, checkpointed, foreachBatch sinks); returns the scored rows."""
-    from claimspark.operators import scoring
+    """Structured Streaming scorer over claim files in the order of their dates
+    (availableNow trigger, keyed state, checkpointed, foreachBatch sinks); returns the
+    scored rows, the same as ``score_claims``."""
     from claimspark.streaming.scoring import claim_stream, start_scoring
     from pyspark.ml import PipelineModel
 
     p = _prepared(spark, sf)
-    claims = _claims(spark, sf)
-    src = shared_path(spark, "incoming-claims")
-    claims.write.parquet(src)
     out = shared_path(spark, "streamed-scores")
-    q = start_scoring(claim_stream(spark, src, claims.schema), PipelineModel(stages=p.preprocessing.stages),
-                      _model(spark, sf, "logistic_regression"), scoring.fit_history(claims), out,
-                      available_now=True)
+    stream = claim_stream(spark, _claim_files(spark, sf), _claims(spark, sf).schema, max_files_per_trigger=4)
+    q = start_scoring(stream, PipelineModel(stages=p.preprocessing.stages), _model(spark, sf, "logistic_regression"),
+                      _trained_history(spark, sf), out, available_now=True)
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch")

@@ -82,7 +82,7 @@ def test_a_batch_that_runs_again_repeats_no_row(spark, half, tmp_path):
     lr, pre = training.fit(half, "logistic_regression"), PipelineModel(stages=half.preprocessing.stages)
     for checkpoint in ("first", "again"):  # a lost checkpoint: batch 0 runs twice
         q = start_scoring(claim_stream(spark, src, claims.schema), pre, lr, scoring.fit_history(claims), out,
-                          checkpoint=str(tmp_path / checkpoint), available_now=True, past=claims.limit(0))
+                          checkpoint=str(tmp_path / checkpoint), available_now=True)
         q.awaitTermination(300)
     assert spark.read.parquet(out).count() == spark.read.parquet(out).select("claim_id").distinct().count() > 0
 
