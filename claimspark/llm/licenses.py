@@ -16,6 +16,7 @@ functions run; the templates, a parameter, are the only broadcast side.
 
 Defined results
   null or empty text, or fewer than five words: no match
+  very long text: its shingles that templates have become rows; split into words in one row's memory
   templates of fewer than five words are refused
   equal best windows: the first; repeated rows (equal doc_id and text): one result
   empty table: no rows; extra columns of the input are ignored

@@ -19,6 +19,7 @@ decisions on their lines. Only DataFrame functions run.
 
 Defined results
   null or empty text: unchanged, no line
+  very long text: its lines are rows of their own; split and joined again in one row's memory
   lines of fewer than ``min_tokens`` tokens, blank ones too, are kept
   repeated rows (equal doc_id and text): alike
   null doc_id: comes first in the order of occurrences

@@ -11,6 +11,7 @@ the cells' tokens, once to be sampled by a hash of doc_id.
 
 Defined results
   null source or language: a value of its own, like any other
+  very long text: counted by one expression over the whole of it, in one row's memory
   null or empty text: 0 tokens, topic ``prose``; sampled at its cell's
   probability (a cell without tokens: the budget's share)
   targets that cannot be met (too few tokens): the cells go in whole, the rest

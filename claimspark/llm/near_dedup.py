@@ -20,6 +20,7 @@
 
 Defined results
   null or empty text, or one without words: n_shingles 0, its own component
+  very long text: a slice by itself; its task holds its words and one hash a shingle
   fewer words than a shingle: the whole sequence is the one shingle
   repeated rows: equal results; null doc_id: linked like others, never a
   component's name while another member has an id (component_id null if none has)

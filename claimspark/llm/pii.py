@@ -16,6 +16,7 @@ card-long number that fails Luhn).
 
 Defined results
   null or empty text: no spans
+  very long text: a slice by itself, searched whole; its stretches are decoded in overlapping windows
   no text with a digit or at sign to learn from: rules only
   repeated rows: each by itself, alike; empty table: no rows
   extra columns of the input stay in ``row``; no name can clash with them

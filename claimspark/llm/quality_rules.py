@@ -11,6 +11,7 @@ doubling (ranks of word pairs, then of pairs of pairs), without hashing.
 
 Defined results
   null or empty text: all counts 0, fails the base rules
+  very long text: a slice by itself; its task holds its words and its eight-word windows' hashes
   empty labels, or labels of one class: no learned rule; the base rules stand
   null labels, and labels of unknown documents, are not learned from
   repeated rows: judged each by itself, alike

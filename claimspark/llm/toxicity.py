@@ -13,6 +13,7 @@ nothing, and long clean documents don't add up to toxic ones.
 
 Defined results
   null or empty text, or one without words: no sentence, score 0
+  very long text: a slice by itself; every sentence of it is scored
   no usable labels, or labels of one class: all scores 0, nothing predicted
   null labels, and labels of unknown documents, are not learned from
   repeated rows: scored each by itself, alike; empty table: no rows

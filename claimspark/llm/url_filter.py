@@ -12,6 +12,7 @@ parameter of the job, at most ``MAX_RULES``) are the only broadcast side.
 
 Defined results
   null URL, or one without ``://``: host and path empty, no rule, ``allow``
+  empty URL: as one without ``://``; very long URL: judged whole, its tokens are rows of one join
   empty table: no rows; empty rules: every URL allowed by the method
   repeated rows: one result each, all alike
   extra columns of the input are ignored
