@@ -72,12 +72,11 @@ def tried_features(plan: Plan, tree: int, nodes: np.ndarray) -> np.ndarray:
     return np.sort(order, axis=1)
 
 
-def tree_histogram(block: Block, fold: np.ndarray, plan: Plan, tree: int, model: int, feature: np.ndarray, cut: np.ndarray,
-                   nodes: np.ndarray, level: int) -> np.ndarray:
-    """Drawn rows by (node, tried feature, bin, class) of one tree's open ``nodes`` at
-    ``level``; rows of the model's own ``fold`` are left out."""
-    bins, keys, y = block
-    count = drawn(keys, plan, tree) * (fold != model)
+def tree_histogram(block: Block, count: np.ndarray, plan: Plan, tree: int, feature: np.ndarray, cut: np.ndarray, nodes: np.ndarray,
+                   level: int) -> np.ndarray:
+    """Rows by (node, tried feature, bin, class) of one tree's open ``nodes`` at ``level``,
+    each ``count`` times."""
+    bins, _, y = block
     size = len(nodes) * plan.tried * plan.bins * 2
     rows = np.flatnonzero(count)
     if not len(rows):
@@ -131,9 +130,13 @@ def _level(blocks: RDD, plan: Plan, trees: list[tuple[int, int]], feature: np.nd
     def sums(own: Iterator[Block]):
         features, cuts, open_ = sent.value
         own = [(b, fold_of(b[1], plan.folds, plan.seed)) for b in own]
-        for i, nodes in open_.items():
-            model, tree = trees[i]
-            h = sum((tree_histogram(b, fold, plan, tree, model, features[i], cuts[i], nodes, level) for b, fold in own), np.int64(0))
+        last, counts = None, []
+        for i in sorted(open_, key=lambda i: trees[i][1]):  # the models' trees of one number draw alike
+            (model, tree), nodes = trees[i], open_[i]
+            if tree != last:
+                last, counts = tree, [drawn(b[1], plan, tree) for b, _ in own]
+            h = sum((tree_histogram(b, n * (fold != model), plan, tree, features[i], cuts[i], nodes, level)
+                     for (b, fold), n in zip(own, counts, strict=True)), np.int64(0))
             if np.ndim(h):
                 at = np.flatnonzero(h)
                 yield i, (at.astype(np.int32), h[at].astype(np.int32))
