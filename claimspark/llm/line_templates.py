@@ -10,8 +10,8 @@ its tokens or more agree).
 A template recurs if the texts of at least ``min_docs`` documents have it; a
 whole-document copy counts as the same text, because whole copies are the
 near-duplicate operator's work. The first occurrence of a recurring template
-(smallest doc_id, then line) stays, in all whole copies of its document, so
-no content is lost; the others are dropped.
+(smallest doc_id, then line) stays, in all whole copies of its document; the
+others are dropped, and with them what their generalised fields held.
 
 Leaves that only one text has cannot hold a recurring template. They go
 after one partial aggregate of hashes; texts are shuffled once, to the
