@@ -1191,12 +1191,20 @@ def q_explain_tree_top(spark, sf):
     return explain.top_row_explanation(phis, scored, 12).withColumn("base_value", F.lit(base))
 
 
-def _claim_files(spark, sf, files: int = 4) -> str:
-    """The claims as files in the order of their dates, ``files`` for each year."""
+def _claim_files(spark, sf, files: int = 4, periods: int = 3) -> str:
+    """The claims as files in the order of their dates: ``files`` for each of ``periods``
+    runs of years."""
     claims, src = _claims(spark, sf), shared_path(spark, "incoming-claims")
     year = F.year("admit_date")
-    for (y,) in claims.select(year).distinct().orderBy(year).collect():
-        claims.where(year.eqNullSafe(F.lit(y))).repartition(files).write.mode("append").parquet(src)
+    years = [r[0] for r in claims.where(year.isNotNull()).select(year).distinct().orderBy(year).collect()]
+    starts = sorted({years[i * len(years) // periods] for i in range(periods)}) if years else []
+    for k, low in enumerate(starts):
+        some = year >= low if k else year.isNull() | (year >= low)
+        if k + 1 < len(starts):
+            some = some & (year.isNull() | (year < starts[k + 1]))
+        claims.where(some).repartition(files).write.mode("append").parquet(src)
+    if not starts:
+        claims.write.parquet(src)
     return src
 
 
@@ -1208,14 +1216,15 @@ SELECT claim_id, CAST(SUM(claim_amount) OVER near AS DOUBLE) AS rolling_cost_90d
 WINDOW own AS (PARTITION BY patient_id ORDER BY admit_date, claim_id),
        near AS (PARTITION BY patient_id ORDER BY admit_date RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW)"""))
 def q_stream_timeline(spark, sf):
-    """The timeline of every claim from a stream's keyed state, a micro-batch a year;
-    the same as window functions over the whole table."""
+    """The timeline of every claim from a stream's keyed state, a micro-batch for each run
+    of years; the same as window functions over the whole table."""
     from claimspark.streaming.scoring import claim_stream
     from claimspark.streaming.timeline import add_timeline
 
     stream = claim_stream(spark, _claim_files(spark, sf), _claims(spark, sf).schema, max_files_per_trigger=4)
     out = shared_path(spark, "streamed-timeline")
-    q = add_timeline(stream).writeStream.format("parquet").outputMode("append").option("path", out) \
+    slim = stream.select("claim_id", "patient_id", "admit_date", "claim_amount", "denial_flag")
+    q = add_timeline(slim).writeStream.format("parquet").outputMode("append").option("path", out) \
         .option("checkpointLocation", shared_path(spark, "timeline-ckpt")).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out).select("claim_id", F.col("rolling_cost_90d").cast("double").alias("rolling_cost_90d"), "claim_count_90d", "days_since_last_claim", "prev_denial_flag",
