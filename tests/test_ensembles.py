@@ -205,3 +205,30 @@ def test_one_class_and_no_rows(spark):
         assert (model.feature >= 0).sum() == 0 and model.base == 0.0
         forest = RF.tune(blocks, list("abcde"), edges, {"numTrees": [2], "maxDepth": [2], "maxBins": [4]}, 0, WEIGHTS).bestModel
         assert set(forest.outputs(H.binned(x, edges)).tolist()) == {float(y[0]) if n else 0.0}
+
+
+def test_a_grid_walks_each_tree_once_and_a_pass_sends_narrow_histograms(monkeypatch):
+    rng = np.random.default_rng(11)
+    bins, y = rng.integers(0, 6, (500, 5)).astype(np.uint8), rng.integers(0, 2, 500).astype(np.int8)
+    keys, size = rng.integers(0, 1 << 62, 500).astype(np.uint64), 31
+    feature, cut = rng.integers(-1, 5, (4, size)).astype(np.int16), rng.integers(0, 5, (4, size)).astype(np.uint8)
+    feature[:, 15:] = -1
+    zeros = np.zeros((4, size))
+    forest = H.Ensemble("forest", list("abcde"), [np.arange(5.0)] * 5, feature, cut, zeros, zeros, rng.random((4, size)))
+    grid = [{"numTrees": t, "maxDepth": d} for t in (2, 4) for d in (2, 4)]
+    plain = [forest.truncated(g["numTrees"], g["maxDepth"]).outputs(bins) for g in grid]
+    walks, steps = [], RF.steps
+    monkeypatch.setattr(RF, "steps", lambda *a: walks.append(1) or steps(*a))
+    for got, own in zip(RF.grid_outputs(forest, grid, bins), plain, strict=True):
+        np.testing.assert_array_equal(got, own)
+    assert len(walks) == 4  # not one for each combination
+    plan = RF.Plan(2, 4, 4, 6, 5, WEIGHTS)
+    count = RF.drawn(keys, plan, 1)
+    rows, nodes = np.flatnonzero(count), np.array([0])
+    h = RF.tree_histogram(RF.classed((bins, keys, y)), rows * 5, count[rows].astype(float), plan, 1, feature[0], cut[0], nodes, 0)
+    at, n = RF.packed(h)
+    assert at is None and n.nbytes <= 2 * h.size
+    for k, f in enumerate(RF.tried_features(plan, 1, nodes)[0]):
+        for b in range(6):
+            for c in (0, 1):
+                assert n.reshape(plan.tried, 6, 2)[k, b, c] == count[(bins[:, f] == b) & (y == c)].sum()
