@@ -36,6 +36,8 @@ OPEN_BINS = 32_768
 #: Tokens that one packer gets, about as many as OPEN_BINS bins hold.
 PACKER_TOKENS = OPEN_BINS * CAPACITY
 END_ID = 1
+#: Text of a slice (its chunks and ids are Python objects meanwhile).
+SLICE_BYTES = 1_000_000
 #: Chunks that a Python worker remembers the ids of, in each of two generations.
 CACHE_CHUNKS = 400_000
 
@@ -141,7 +143,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             rows = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()),
                                    strict=True):

@@ -36,6 +36,8 @@ from claimspark.llm.common import WORD_RE, slices
 #: Most labelled rows that the rules are learned from, chosen by a hash.
 LABEL_BOUND = 20_000
 WINDOW = 8
+#: Text of a slice: a task holds some forty times that in words, numbers and sorts of them.
+SLICE_BYTES = 1_000_000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SHARES = ["symbol_share", "pipe_share", "upper_share", "bang_share", "repeat_share", "dup_line_share", "mean_word",
@@ -110,7 +112,7 @@ def with_statistics(docs: DataFrame, text_column: str = "text") -> DataFrame:
     kinds = [pa.int64()] * len(COUNTS) + [pa.float64()] * len(SHARES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             found = text_statistics(part.column("text").to_pylist())
             stats = pa.StructArray.from_arrays(
                 [pa.array(found[c], k) for c, k in zip(COUNTS + SHARES, kinds, strict=True)], names=COUNTS + SHARES)

@@ -71,3 +71,22 @@ def test_rules_from_tables(spark, docs_of):
     got = Q.judge(docs, rules).select("row.doc_id", "rejected").toPandas().dropna()
     assert (got.rejected == (got.doc_id % 3 == 0)).all()
     assert Q.learn_rules(docs, labels.limit(0)).rules == []
+
+
+def test_a_task_holds_a_small_slice_of_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from claimspark.llm import packing, quality_rules
+    from claimspark.llm.common import slices
+
+    text = " ".join(f"w{i % 5000}" for i in range(20_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 40)], names=["text"])
+    assert packing.SLICE_BYTES <= 1_000_000
+    tracemalloc.start()
+    for part in slices(iter([batch]), "text", quality_rules.SLICE_BYTES):
+        quality_rules.text_statistics(part.column("text").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
