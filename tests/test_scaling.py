@@ -121,3 +121,34 @@ def test_streaming_state_by_group_keeps_patients_apart():
     for p in (None, "a", "b"):
         own = [i for i, x in enumerate(patients) if x == p]
         assert [got[i] for i in own] == stream.features(stream.Timeline(), [claims[i] for i in own])
+
+
+def test_the_chain_by_patient_runs_in_tasks_of_bounded_rows(spark, monkeypatch):
+    """As many partitions as the claims need, not what their compressed bytes are merged to; hot patients apart."""
+    claims, patients = _claims(spark), patients_df(spark)
+    cols = ["claim_id", "claim_sequence", "prev_claim_amount", "rolling_cost_90d", "patient_total_claims", "age"]
+    plain = pipelines.enriched_claims(claims, patients, with_patient_totals=True)
+    monkeypatch.setattr(timeline, "TASK_CLAIMS", 100)
+    monkeypatch.setattr(pipelines, "hot_patients", lambda c: [])
+    many = pipelines.enriched_claims(claims, patients, with_patient_totals=True)
+    assert many.rdd.getNumPartitions() == 15
+    monkeypatch.setattr(pipelines, "hot_patients", lambda c: ["HOT", None])
+    apart = pipelines.enriched_claims(claims, patients, with_patient_totals=True)
+    assert _rows(plain, *cols) == _rows(many, *cols) == _rows(apart, *cols)
+
+
+def test_training_rows_are_dealt_once(spark):
+    """The scaler and the models read one kept copy of the dealt rows; the encoders need no dealing."""
+    from pyspark.ml.functions import vector_to_array
+
+    claims = _claims(spark).where("patient_id is not null").withColumn("facility_type", F.when(F.col("claim_id") < "C00700", "ER").otherwise("Lab"))
+    odd = F.col("patient_id").rlike("[02468]$")
+    patients = claims.select("patient_id").distinct().select(
+        "patient_id", F.when(odd, 30).otherwise(70).alias("age"), F.when(odd, "M").otherwise("F").alias("gender"), F.lit("AZ").alias("state"),
+        F.when(odd, "PPO").otherwise("HMO").alias("insurance_type"), F.lit(1).alias("comorbidity_count"))
+    p = training.prepare(pipelines.feature_table(claims, patients), train_rows=300)
+    plan = _plan(p.ptrain)
+    assert "InMemoryTableScan" in plan and "StandardScaler" not in plan
+    again = p.preprocessing.transform(p.train)
+    arrays = lambda df: {r[0]: r[1] for r in df.select("claim_id", vector_to_array("scaled_features")).collect()}
+    assert arrays(p.ptrain) == arrays(again)
