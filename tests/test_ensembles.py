@@ -110,6 +110,37 @@ def test_boosting_is_the_same_for_any_dealing(spark):
     assert all(np.array_equal(getattr(models[0], k), getattr(models[1], k)) for k in ("feature", "cut", "value", "cover", "gain"))
 
 
+@pytest.mark.parametrize("moved", [1 << 20, -1])
+def test_boosting_finishes_small_nodes_in_tasks(spark, monkeypatch, moved):
+    """Poor guesses cost a pass a level; the rows of nodes that are small enough meet in a task instead."""
+    x, y = table(600, 7)
+    blocks, edges, _ = landed(spark, x, y, 8)
+    spec, passes, finished = B.Boosting(trees=3, depth=5, rate=0.3, bins=8), [], []
+    monkeypatch.setattr(B, "GUESS_ROWS", 12)
+    monkeypatch.setattr(B, "MOVED_ROWS", moved)
+    monkeypatch.setattr(B, "SUBTREE_ROWS", (300, 300))
+    for name, calls in (("_whole_splits", passes), ("_subtrees", finished)):
+        monkeypatch.setattr(B, name, lambda *a, f=getattr(B, name), calls=calls: calls.append(1) or f(*a))
+    model = B.fit(blocks, list("abcde"), edges, WEIGHTS, spec)
+    trees, margin = plain_booster(whole(blocks), spec, edges)
+    assert [{int(i): (int(f[i]), int(c[i])) for i in np.flatnonzero(f >= 0)} for f, c in zip(model.feature, model.cut)] == trees
+    np.testing.assert_allclose(model.outputs(whole(blocks)[0]), margin, atol=1e-9)
+    assert (len(finished) > 0 and len(passes) <= 3 * 3) if moved > 0 else (not finished and len(passes) > 3 * 3)
+
+
+def test_features_counted_together_have_their_own_histograms():
+    rng = np.random.default_rng(3)
+    sizes = np.array([8, 2, 1, 3, 2, 8, 5])
+    bins = np.column_stack([rng.integers(0, n, 500) for n in sizes]).astype(np.uint8)
+    at, g, h = rng.integers(-1, 4, 500), rng.integers(-99, 99, 500).astype(float), rng.integers(0, 99, 500).astype(float)
+    chosen = np.array([0, 1, 3, 4, 6])
+    got = B.histogram(at, 4, bins, chosen, g, h, B.Boosting(bins=8), sizes[chosen])
+    for n, j, b in np.ndindex(4, len(chosen), 8):
+        rows = (at == n) & (bins[:, chosen[j]] == b)
+        assert got[n, j, b].tolist() == [g[rows].sum(), h[rows].sum()]
+    assert sorted(j for group in B.joined(tuple(sizes)) for j in group) == list(range(7)) and len(B.joined(tuple(sizes))) < 7
+
+
 def plain_tree(block, plan, tree, model):
     """{node: (feature, cut)} and {node: share of class 1} by recursion over drawn rows."""
     bins, keys, y = block
