@@ -17,6 +17,8 @@
    such pairs are compared, so no group emits all its pairs and none loses a link.
 4. Union-find over the links, as parent pointers contracted by joins
    (large-star, small-star) with a written table after each round.
+All joined tables grow with the corpus, so joins are by merge: on small inputs Spark
+would else send some fifty tables through the driver and hold them there.
 
 Defined results
   null or empty text, or one without words: n_shingles 0, its own component
@@ -157,7 +159,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     (digest, doc_id, key), each from the one document named."""
     rows = docs.select(F.col("doc_id").cast("long").alias("d"), text_key(F.col("text")).alias("k"),
                        F.col("text").cast("string").alias("text"))
-    rows = rows.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))).select("digest", "text")
+    rows = rows.join(wanted.hint("merge"), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))).select("digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -172,12 +174,12 @@ def _beside(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The distinct ``pairs`` (head, member) as rows for one pass in order: a
     head's set, then some hundred of its members' sets. No task holds a group."""
     heads = pairs.groupBy("head").agg(F.ceil(F.count("*") / MEMBERS_PER_HEAD).cast("int").alias("parts"))
-    members = pairs.join(heads, "head").select(
+    members = pairs.join(heads.hint("merge"), "head").select(
         "head", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"),
         F.col("member").alias("digest"))
     leads = heads.select("head", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"),
                          F.col("head").alias("digest"))
-    return leads.unionByName(members).join(sets, "digest").select("head", "part", "role", "digest", "shingles") \
+    return leads.unionByName(members).join(sets.hint("merge"), "digest").select("head", "part", "role", "digest", "shingles") \
         .repartition("head", "part").sortWithinPartitions("head", "part", "role", "digest")
 
 
@@ -251,29 +253,29 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # first kind: each one's size is at most what the other's part in the head allows
     most = F.floor(near * F.col("same") / percent) - F.col("n")
     small = group.groupBy("head").agg(F.min("n").alias("least"))
-    part = group.join(small, "head").where(most >= F.col("least")).drop("least")
+    part = group.join(small.hint("merge"), "head").where(most >= F.col("least")).drop("least")
     mixed = part.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed"), F.count("*").alias("size")).where("mixed") \
-        .join(main, "head").select("head", "main", F.ceil(F.col("size") / GROUP_ROWS).cast("int").alias("deals"))
-    part = part.join(mixed, "head")
+        .join(main.hint("merge"), "head").select("head", "main", F.ceil(F.col("size") / GROUP_ROWS).cast("int").alias("deals"))
+    part = part.join(mixed.hint("merge"), "head")
     # a large group is dealt out; the few members of other components go to every deal
     few = part.where("label <> main").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("main", "deals")
     dealt = part.select("head", F.expr("pmod(xxhash64(member), deals)").cast("int").alias("deal"),
                         *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]])
-    first = few.join(dealt, ["head", "deal"]).where(apart & (near * F.least("same", "o_same") >= both)).select(*pair)
+    first = few.join(dealt.hint("merge"), ["head", "deal"]).where(apart & (near * F.least("same", "o_same") >= both)).select(*pair)
     # second kind: a member needs at least ``need`` shared shingles outside, so one of them is among
     # its first (outside - need + 1) by rarity in the group; common ones come last and find no pairs
     own = outside(group.where("head <> member").select("head", "member"), sets)
     seen = own.groupBy("head", "shingle").agg(F.count("*").alias("seen"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100) - F.col("same"))
     order = F.row_number().over(Window.partitionBy("head", "member").orderBy("seen", "shingle"))
-    first_ones = own.join(seen, ["head", "shingle"]).withColumn("order", order) \
-        .join(group.select("head", "member", "n", "same", "label"), ["head", "member"]) \
+    first_ones = own.join(seen.hint("merge"), ["head", "shingle"]).withColumn("order", order) \
+        .join(group.select("head", "member", "n", "same", "label").hint("merge"), ["head", "member"]) \
         .where((F.col("order") <= F.col("n") - F.col("same") - need + 1) & (F.col("seen") > 1))
     rare = materialize(first_ones.select("head", "member", "shingle", "label"), "outside")
     twin = rare.withColumnsRenamed({"member": "o_member", "label": "o_label"})
-    second = rare.join(main, "head").where("label <> main").join(twin, ["head", "shingle"]).where("label <> o_label") \
+    second = rare.join(main.hint("merge"), "head").where("label <> main").join(twin.hint("merge"), ["head", "shingle"]).where("label <> o_label") \
         .select("head", "member", "o_member").distinct() \
-        .join(group, ["head", "member"]).join(other, ["head", "o_member"]).where(apart).select(*pair)
+        .join(group.hint("merge"), ["head", "member"]).join(other.hint("merge"), ["head", "o_member"]).where(apart).select(*pair)
     return first.unionByName(second).distinct().select(F.col("member").alias("head"), F.col("o_member").alias("member"))
 
 
@@ -283,13 +285,13 @@ def better_heads(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     nearest to what most have."""
     open_ = stars.groupBy("head").agg(F.min(100 * F.col("same") - percent * F.col("all")).alias("least"), F.count("*").alias("members")) \
         .where("least < 0").select("head", "members")
-    own = materialize(outside(stars.join(open_, "head").select("head", "member"), sets), "outside")
-    most = own.groupBy("head", "shingle").agg(F.count("*").alias("seen")).join(open_, "head") \
+    own = materialize(outside(stars.join(open_.hint("merge"), "head").select("head", "member"), sets), "outside")
+    most = own.groupBy("head", "shingle").agg(F.count("*").alias("seen")).join(open_.hint("merge"), "head") \
         .where(2 * F.col("seen") > F.col("members")).select("head", "shingle", F.lit(1).alias("common"))
-    gain = own.join(most, ["head", "shingle"], "left").groupBy("head", "member") \
+    gain = own.join(most.hint("merge"), ["head", "shingle"], "left").groupBy("head", "member") \
         .agg(F.sum(F.coalesce("common", F.lit(-1))).alias("gain"))
     near = F.col("same") + F.coalesce("gain", F.lit(0))
-    return stars.join(most.select("head").distinct(), "head").join(gain, ["head", "member"], "left") \
+    return stars.join(most.select("head").distinct().hint("merge"), "head").join(gain.hint("merge"), ["head", "member"], "left") \
         .groupBy("head").agg(F.max_by("member", F.struct(near, "member")).alias("better"))
 
 
@@ -320,34 +322,34 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
         F.col("head").alias("u"), F.col("member").alias("v"))
     members = nodes.select("digest", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialize(members.join(sizes, "band"), "buckets")
+    members = materialize(members.join(sizes.hint("merge"), "band"), "buckets")
     central = members.groupBy("digest").agg(F.sum("size").alias("central"))
-    leaders = members.join(central, "digest").groupBy("band").agg(
+    leaders = members.join(central.hint("merge"), "digest").groupBy("band").agg(
         F.max_by("digest", F.struct("central", "digest")).alias("leader"))
-    led = materialize(members.select("band", "digest").join(leaders, "band").select("leader", "digest").distinct(), "led")
+    led = materialize(members.select("band", "digest").join(leaders.hint("merge"), "band").select("leader", "digest").distinct(), "led")
     # a bucket without the original has one of its copies as leader: that copy's own most central leader heads the group
-    own = led.join(central.withColumnRenamed("digest", "leader"), "leader").groupBy("digest").agg(
+    own = led.join(central.withColumnRenamed("digest", "leader").hint("merge"), "leader").groupBy("digest").agg(
         F.max_by("leader", F.struct("central", "leader")).alias("head"))
-    grouped = materialize(led.join(own.select(F.col("digest").alias("leader"), "head"), "leader")
+    grouped = materialize(led.join(own.select(F.col("digest").alias("leader"), "head").hint("merge"), "leader")
                           .select("head", F.col("digest").alias("member")).distinct(), "grouped")
-    sets = materialize(sets_of(docs, nodes.select("digest", "doc_id", "key").join(central.select("digest"), "digest"), size), "sets")
+    sets = materialize(sets_of(docs, nodes.select("digest", "doc_id", "key").join(central.select("digest").hint("merge"), "digest"), size), "sets")
     stars = materialize(compare(grouped.where("head <> member"), sets), "stars")
     better = materialize(better_heads(stars, sets, percent), "better")
-    again = grouped.join(better, "head").select(F.col("better").alias("head"), "member").where("head <> member").distinct()
+    again = grouped.join(better.hint("merge"), "head").select(F.col("better").alias("head"), "member").where("head <> member").distinct()
     again = materialize(compare(again, sets), "stars")
     found = near(stars).unionByName(near(again))
     labels = components(found)
     # a better head may head a group of its own too; each pair counts once
-    stars, known = stars.join(better, "head", "left_anti").unionByName(again).dropDuplicates(["head", "member"]), stars.unionByName(again)
+    stars, known = stars.join(better.hint("merge"), "head", "left_anti").unionByName(again).dropDuplicates(["head", "member"]), stars.unionByName(again)
     # groups whose members are still in different components; the head is one of them
     group = stars.select("head", "member", "same", F.col("n_member").alias("n"), "n_head")
     lead = stars.select("head", F.col("head").alias("member"), F.col("n_head").alias("same"), F.col("n_head").alias("n"), "n_head").distinct()
-    group = group.unionByName(lead).join(labels.withColumnRenamed("node", "member"), "member", "left") \
+    group = group.unionByName(lead).join(labels.withColumnRenamed("node", "member").hint("merge"), "member", "left") \
         .withColumn("label", F.coalesce("label", "member"))
     mixed = group.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
-    group = materialize(group.join(mixed, "head"), "groups")
+    group = materialize(group.join(mixed.hint("merge"), "head"), "groups")
     known = known.select("head", "member").unionByName(known.select(F.col("member").alias("head"), F.col("head").alias("member")))
-    rest = compare(rest_pairs(group, sets, percent).join(known, ["head", "member"], "left_anti"), sets)
+    rest = compare(rest_pairs(group, sets, percent).join(known.hint("merge"), ["head", "member"], "left_anti"), sets)
     return found.unionByName(near(rest))
 
 
@@ -361,10 +363,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .select("digest", "first.doc_id", "first.key", "bands")
     nodes = materialize(nodes, "nodes")
     labels = components(links(docs, nodes, size, percent))
-    named = nodes.select("digest", "doc_id").join(labels.withColumnRenamed("node", "digest"), "digest", "left") \
+    named = nodes.select("digest", "doc_id").join(labels.withColumnRenamed("node", "digest").hint("merge"), "digest", "left") \
         .withColumn("label", F.coalesce("label", "digest"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    names = named.join(names, "label").select("digest", "component_id")
-    linked = real.join(names, "digest").select("doc_id", "key", "n_shingles", "component_id")
+    names = named.join(names.hint("merge"), "label").select("digest", "component_id")
+    linked = real.join(names.hint("merge"), "digest").select("doc_id", "key", "n_shingles", "component_id")
     alone = found.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
