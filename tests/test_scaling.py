@@ -153,3 +153,18 @@ def test_training_rows_are_dealt_once(spark):
     again = p.preprocessing.transform(p.train)
     arrays = lambda df: {r[0]: r[1] for r in df.select("claim_id", vector_to_array("scaled_features")).collect()}
     assert arrays(p.ptrain) == arrays(again)
+
+
+def test_a_landing_is_one_job(spark):
+    """Its schema is given, not looked up in the files by a job of its own."""
+    sc = spark.sparkContext
+    frame = spark.range(50).selectExpr("id", "struct(id as a, cast(id as string) as b) as s", "cast(null as binary) as n")
+    sc.setJobGroup("landing", "landing")
+    try:
+        landed = materialize(frame, "landing")
+        assert len(sc.statusTracker().getJobIdsForGroup("landing")) == 1
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    inferred = spark.read.parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
+    assert landed.schema == inferred.schema and sorted(landed.collect()) == sorted(frame.collect())
