@@ -18,7 +18,9 @@
 4. Union-find over the links, as parent pointers contracted by joins
    (large-star, small-star) with a written table after each round.
 All joined tables grow with the corpus, so joins are by merge: on small inputs Spark
-would else send some fifty tables through the driver and hold them there.
+would else send some fifty tables through the driver and hold them there. What two
+branches of a step read is written first: a plan of many exchanges starts all of
+them at once, each with a thread, its state and its text in the driver.
 
 Defined results
   null or empty text, or one without words: n_shingles 0, its own component
@@ -244,8 +246,8 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     group = group.withColumn("away", away).select("head", "member", "same", "n", "label", "away")
     other = group.select("head", *[F.col(c).alias(f"o_{c}") for c in group.columns[1:]])
     # two components differ in at least one that is not the group's largest: only its members look for partners
-    main = group.groupBy("head", "label").agg(F.count("*").alias("size")).groupBy("head").agg(
-        F.max_by("label", F.struct("size", "label")).alias("main"))
+    main = materialize(group.groupBy("head", "label").agg(F.count("*").alias("size")).groupBy("head").agg(
+        F.max_by("label", F.struct("size", "label")).alias("main")), "main")
     apart = (F.col("label") != F.col("o_label")) \
         & (F.abs(F.col("away") - F.col("o_away")) <= 1 - percent / 100 + 1e-9)  # the distance is a metric
     both = percent * (F.col("n") + F.col("o_n"))
@@ -256,7 +258,7 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     part = group.join(small.hint("merge"), "head").where(most >= F.col("least")).drop("least")
     mixed = part.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed"), F.count("*").alias("size")).where("mixed") \
         .join(main.hint("merge"), "head").select("head", "main", F.ceil(F.col("size") / GROUP_ROWS).cast("int").alias("deals"))
-    part = part.join(mixed.hint("merge"), "head")
+    part = materialize(part.join(mixed.hint("merge"), "head"), "parts")
     # a large group is dealt out; the few members of other components go to every deal
     few = part.where("label <> main").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("main", "deals")
     dealt = part.select("head", F.expr("pmod(xxhash64(member), deals)").cast("int").alias("deal"),
@@ -264,7 +266,7 @@ def rest_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     first = few.join(dealt.hint("merge"), ["head", "deal"]).where(apart & (near * F.least("same", "o_same") >= both)).select(*pair)
     # second kind: a member needs at least ``need`` shared shingles outside, so one of them is among
     # its first (outside - need + 1) by rarity in the group; common ones come last and find no pairs
-    own = outside(group.where("head <> member").select("head", "member"), sets)
+    own = materialize(outside(group.where("head <> member").select("head", "member"), sets), "outside")
     seen = own.groupBy("head", "shingle").agg(F.count("*").alias("seen"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100) - F.col("same"))
     order = F.row_number().over(Window.partitionBy("head", "member").orderBy("seen", "shingle"))
@@ -286,8 +288,8 @@ def better_heads(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     open_ = stars.groupBy("head").agg(F.min(100 * F.col("same") - percent * F.col("all")).alias("least"), F.count("*").alias("members")) \
         .where("least < 0").select("head", "members")
     own = materialize(outside(stars.join(open_.hint("merge"), "head").select("head", "member"), sets), "outside")
-    most = own.groupBy("head", "shingle").agg(F.count("*").alias("seen")).join(open_.hint("merge"), "head") \
-        .where(2 * F.col("seen") > F.col("members")).select("head", "shingle", F.lit(1).alias("common"))
+    most = materialize(own.groupBy("head", "shingle").agg(F.count("*").alias("seen")).join(open_.hint("merge"), "head")
+                       .where(2 * F.col("seen") > F.col("members")).select("head", "shingle", F.lit(1).alias("common")), "common")
     gain = own.join(most.hint("merge"), ["head", "shingle"], "left").groupBy("head", "member") \
         .agg(F.sum(F.coalesce("common", F.lit(-1))).alias("gain"))
     near = F.col("same") + F.coalesce("gain", F.lit(0))
@@ -295,13 +297,20 @@ def better_heads(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .groupBy("head").agg(F.max_by("member", F.struct(near, "member")).alias("better"))
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether the distinct ``edges`` (u, v; u > v) are stars around their smallest
+    nodes: each u has one edge, and no v is a u. Needs no further round to see it."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")) \
+        .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    return ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")) \
+        .where("ups > 1 or ups = 1 and least = 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node reachable) of all nodes of ``edges`` (u, v)."""
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
                       "edges")
-    mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    before, state = None, mark(now)
-    while state != before and state[0]:
+    while not settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
@@ -309,7 +318,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        before, state = state, mark(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")) \
         .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))) \
         .groupBy("node").agg(F.min("label").alias("label"))
@@ -336,7 +344,7 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     stars = materialize(compare(grouped.where("head <> member"), sets), "stars")
     better = materialize(better_heads(stars, sets, percent), "better")
     again = grouped.join(better.hint("merge"), "head").select(F.col("better").alias("head"), "member").where("head <> member").distinct()
-    again = materialize(compare(again, sets), "stars")
+    again = materialize(compare(materialize(again, "pairs"), sets), "stars")
     found = near(stars).unionByName(near(again))
     labels = components(found)
     # a better head may head a group of its own too; each pair counts once
@@ -349,8 +357,8 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     mixed = group.groupBy("head").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("head")
     group = materialize(group.join(mixed.hint("merge"), "head"), "groups")
     known = known.select("head", "member").unionByName(known.select(F.col("member").alias("head"), F.col("head").alias("member")))
-    rest = compare(rest_pairs(group, sets, percent).join(known.hint("merge"), ["head", "member"], "left_anti"), sets)
-    return found.unionByName(near(rest))
+    rest = rest_pairs(group, sets, percent).join(known.hint("merge"), ["head", "member"], "left_anti")
+    return found.unionByName(near(compare(materialize(rest, "pairs"), sets)))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

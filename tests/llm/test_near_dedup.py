@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from claimspark.llm import near_dedup as N
+from claimspark.session import materialize
 
 
 def shingles(text, size):
@@ -156,3 +157,30 @@ def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
         monkeypatch.setattr(N, "GROUP_ROWS", size)
         pairs = [(r["head"], r["member"]) for r in N.rest_pairs(group, None, 80).collect()]
         assert sorted(pairs) == [(f"m{i:03}", "odd") for i in range(400)]
+
+
+def test_stars_need_no_round_and_a_path_does(spark, monkeypatch):
+    """The driver starts no round of joins only to see that nothing changes."""
+    landed = []
+    monkeypatch.setattr(N, "materialize", lambda df, name: (landed.append(name), materialize(df, name))[1])
+    stars = spark.createDataFrame([(1, i) for i in range(2, 50)] + [(60, 70), (70, 60), (8, 8)], "u long, v long")
+    assert {r.node: r.label for r in N.components(stars).collect()} == {**{i: 1 for i in range(1, 50)}, 60: 60, 70: 60}
+    assert landed == ["edges"]
+    path = spark.createDataFrame([(1, 2), (2, 3), (4, 3)], "u long, v long")
+    assert {r.node: r.label for r in N.components(path).collect()} == {1: 1, 2: 1, 3: 1, 4: 1}
+    assert len(landed) > 2
+
+
+def test_no_plan_starts_many_exchanges_at_once(spark, docs_of, monkeypatch):
+    """Each exchange of a plan is a thread, a state and a text in the driver; one plan had some eighty."""
+    exchanges = {}
+
+    def land(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        exchanges[name] = max(exchanges.get(name, 0), len(re.findall(r"[ -]Exchange ", plan)))
+        return materialize(df, name)
+
+    monkeypatch.setattr(N, "materialize", land)
+    N.near_duplicates(docs_of(corpus()), 2, 80).collect()
+    assert max(exchanges.values()) <= 30, exchanges
+    assert {"edges", "stars", "outside"} <= set(exchanges)
