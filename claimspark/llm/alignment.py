@@ -32,11 +32,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +48,15 @@ from claimspark.session import materialize
 
 #: Text of a block, the unit in which pairs are counted before they are shuffled.
 SLICE_BYTES = 4_000_000
-#: Links that are written out at a time.
-CHUNK_LINKS = 1_000_000
+#: Id pairs of a block that are in one row.
+PAIRS_ROW = 4_096
+#: Links of words that are written out at a time, and pairs of texts' words.
+CHUNK_LINKS = 100_000
+CHUNK_PAIRS = 100_000
 #: Characters of a text that are split into words at a time.
 SEGMENT_CHARS = 500_000
+#: Characters of distinct words that are aligned at a time: the encoders hold a few hundred bytes for each.
+ALIGN_CHARS = 100_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SIDES: dict = {}
@@ -72,6 +79,19 @@ def words(text: str, size: int | None = None) -> Iterator[list[str]]:
     yield _CUT.split(text[begin:])
 
 
+def runs(names: Iterable[str]) -> Iterator[list[str]]:
+    """Lists of ``ALIGN_CHARS`` characters, or one longer word by itself."""
+    run, held = [], 0
+    for name in names:
+        if run and held + len(name) > ALIGN_CHARS:
+            yield run
+            run, held = [], 0
+        run.append(name)
+        held += len(name)
+    if run:
+        yield run
+
+
 def byte_symbols() -> dict[str, int]:
     """The byte that each symbol of a byte-level vocabulary stands for: printable
     Latin-1 for itself, the others in order from U+0100 on."""
@@ -152,6 +172,12 @@ def _sides(paths: tuple[str, str]) -> tuple[SideBytes, SidePieces]:
     return _SIDES[paths]
 
 
+@cache
+def _names(most: int) -> list[str]:
+    """Ids below ``most`` with the mark that follows them: inside a side, after A, after B."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(most)]
+
+
 class Aligned:
     """Tokens and groups of texts, each in a byte range of its own, one after the other.
 
@@ -162,7 +188,7 @@ class Aligned:
 
     def __init__(self, texts: list[str], paths: tuple[str, str]):
         sides = _sides(paths)
-        self.n = len(texts)
+        self.n, self.most = len(texts), max(len(side.tokens) for side in sides)
         want = [(" " + t).encode() for t in texts]
         self.whole = np.ones(self.n, bool)
         ids = self._together(texts, b"".join(want), sides)
@@ -213,8 +239,7 @@ class Aligned:
         a, b = self.group_a, self.group_b
         last_a, last_b = np.ones(len(a), bool), np.ones(len(b), bool)
         last_a[:-1], last_b[:-1] = a[1:] != a[:-1], b[1:] != b[:-1]
-        most = int(max(self.a.max(initial=0), self.b.max(initial=0))) + 1
-        name = [f"{i}{mark}" for mark in ",|;" for i in range(most)]
+        most, name = self.most, _names(self.most)
         places = np.empty(len(a) + len(b), np.int64)
         places[np.arange(len(a)) + self.first_b[a]] = self.a + most * last_a
         places[np.arange(len(b)) + self.first_a[b + 1]] = self.b + 2 * most * last_b
@@ -276,10 +301,13 @@ class Block:
                 edges.update(w for w in (some[0], some[-1]) if w[:1].isspace() or w[-1:].isspace())
             bounds.append(n)
         # words with white space at an end are apart, so that the others can be encoded together
-        names = [[w for w in numbers if w not in edges], [*edges]]
+        names = [*runs(w for w in numbers if w not in edges), *runs(edges)]
         place = np.empty(len(numbers), np.int32)
-        place[[numbers[w] for some in names for w in some]] = np.arange(len(numbers))
-        self.found = [Aligned(some, paths) for some in names]
+        place[np.fromiter((numbers[w] for some in names for w in some), np.int64, len(numbers))] = np.arange(len(numbers))
+        del numbers
+        self.found = [Aligned(some, paths) for some in names or [[]]]
+        #: The first word of each of ``found``, and the end.
+        self.first = np.cumsum([0, *[f.n for f in self.found]])
         self.word, self.bounds = place[np.concatenate(parts)], np.array(bounds)
         whole = np.concatenate([f.whole for f in self.found])
         bad = np.zeros(len(texts), bool)
@@ -308,28 +336,37 @@ class Block:
 
     def pairs(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, A id * width + B id, links) of each id pair of each text, in order."""
-        first, second = (f.pairs(width) for f in self.found)
-        of = np.concatenate([first[0], second[0] + self.found[0].n])
-        pair, links = (np.concatenate([x, y]) for x, y in zip(first[1:], second[1:], strict=True))
-        n_words = sum(f.n for f in self.found)
+        each = [f.pairs(width) for f in self.found]
+        of = np.concatenate([x[0] + i for x, i in zip(each, self.first, strict=False)])
+        pair, links = (np.concatenate([x[k] for x in each]) for k in (1, 2))
+        del each
+        n_words = int(self.first[-1])
         begin = np.searchsorted(of, np.arange(n_words + 1))
-        docs = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        key, times = np.unique(docs * max(n_words, 1) + self.word, return_counts=True)
-        doc, word = key // max(n_words, 1), key % max(n_words, 1)
-        size = begin[word + 1] - begin[word]
-        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin[word], size)
-        radix = int(pair.max(initial=0)) + 1
-        key, back = np.unique(np.repeat(doc, size) * radix + pair[at], return_inverse=True)
-        total = np.zeros(len(key), np.int64)
-        np.add.at(total, back, links[at] * np.repeat(times, size))
-        return key // radix, key % radix, total
+        radix, out = int(pair.max(initial=0)) + 1, [(np.zeros(0, np.int64),) * 3]
+        # as many texts at a time as write out so many pairs, one at least
+        held = np.concatenate([[0], np.cumsum(np.diff(begin)[self.word])])[self.bounds]
+        i = 0
+        while i < len(held) - 1:
+            j = max(i + 1, int(np.searchsorted(held, held[i] + CHUNK_PAIRS, "right")) - 1)
+            docs = np.repeat(np.arange(i, j), np.diff(self.bounds[i:j + 1]))
+            key, times = np.unique(docs * max(n_words, 1) + self.word[self.bounds[i]:self.bounds[j]], return_counts=True)
+            doc, word = key // max(n_words, 1), key % max(n_words, 1)
+            size = begin[word + 1] - begin[word]
+            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin[word], size)
+            key, back = np.unique(np.repeat(doc, size) * radix + pair[at], return_inverse=True)
+            total = np.zeros(len(key), np.int64)
+            np.add.at(total, back, links[at] * np.repeat(times, size))
+            out.append((key // radix, key % radix, total))
+            i = j
+        return tuple(np.concatenate([x[k] for x in out]) for k in range(3))
 
     def groups(self, i: int) -> list[np.ndarray]:
         """A ids, A sizes, B ids and B sizes of the groups of text ``i``."""
         out = [[np.zeros(0, np.int64)] for _ in range(4)]
         for w in self.word[self.bounds[i]:self.bounds[i + 1]].tolist():
-            f, w = (self.found[0], w) if w < self.found[0].n else (self.found[1], w - self.found[0].n)
-            g, h = np.searchsorted(f.doc, [w, w + 1])
+            k = int(np.searchsorted(self.first, w, "right")) - 1
+            f = self.found[k]
+            g, h = np.searchsorted(f.doc, [w - self.first[k], w - self.first[k] + 1])
             for held, values in zip(out, (f.a[f.first_a[g]:f.first_a[h]], f.sizes_a[g:h], f.b[f.first_b[g]:f.first_b[h]], f.sizes_b[g:h]),
                                     strict=True):
                 held.append(values)
@@ -337,8 +374,9 @@ class Block:
 
 
 _GROUPS = "doc_id long, a_ids array<int>, a_sizes array<int>, b_ids array<int>, b_sizes array<int>"
-_BLOCKS = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-           "groups_sha256 array<string>, n_pairs array<int>, pair_at array<int>, links array<int>, pairs array<long>, holders array<int>")
+_BLOCKS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+           "pair_at array<int>, links array<int>, first int, pairs array<long>, holders array<int>")
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 _COUNTED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
@@ -367,25 +405,38 @@ def _width(paths: tuple[str, str]) -> int:
 
 
 def aligned_blocks(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFrame:
-    """One row a block of texts: figures and digest of each text, the block's id
-    pairs with the number of its texts that hold each (``pairs``, ``holders``), and
-    each text's pairs as places in these, with their links."""
+    """Rows of two kinds, none of which holds more than a text's or ``PAIRS_ROW`` pairs.
+    One for each text: its figures and digest, and its pairs as places among its
+    block's id pairs, with their links. And the block's id pairs with the number of
+    its texts that hold each (``pairs``, ``holders``), from the place ``first`` on."""
     paths = tokenizers or default_tokenizers()
+    names, types = zip(*((c.split()[0], _TYPES[c.split()[1]]) for c in _BLOCKS.split(", ")), strict=True)
+
+    def rows(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [columns[c].cast(t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types, strict=True)], names=list(names))
+
+    def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values))
+
+    def of_block(block: pa.Scalar, part: pa.RecordBatch) -> list[pa.RecordBatch]:
+        n, found = part.num_rows, Block(part.column("text").to_pylist(), paths)
+        sums = {"n_a": lambda f: f.per_text(f.sizes_a), "n_b": lambda f: f.per_text(f.sizes_b), "n_groups": lambda f: f.per_text(),
+                "n_links": lambda f: f.per_text(f.sizes_a * f.sizes_b)}
+        figures = {c: pa.array(found.sums(of)) for c, of in sums.items()} | {"groups_sha256": pa.array(found.digests(), pa.string())}
+        doc, pair, links = found.pairs(_width(paths))
+        del found
+        pairs, at, holders = np.unique(pair, return_inverse=True, return_counts=True)
+        ends = np.cumsum(np.bincount(doc, minlength=n))
+        first = np.arange(0, len(pairs), PAIRS_ROW)
+        stop = np.minimum(first + PAIRS_ROW, len(pairs))
+        return [rows(n, block=pa.repeat(block, n), doc_id=part.column("doc_id"), **figures, pair_at=lists(ends, at), links=lists(ends, links)),
+                rows(len(first), block=pa.repeat(block, len(first)), first=pa.array(first), pairs=lists(stop, pairs), holders=lists(stop, holders))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nth, part in enumerate(slices(batches, "text", SLICE_BYTES)):
-            found = Block(part.column("text").to_pylist(), paths)
-            doc, pair, links = found.pairs(_width(paths))
-            pairs, at = np.unique(pair, return_inverse=True)
-            values = [part.column("doc_id").to_pylist(), found.sums(lambda f: f.per_text(f.sizes_a)), found.sums(lambda f: f.per_text(f.sizes_b)),
-                      found.sums(lambda f: f.per_text()), found.sums(lambda f: f.per_text(f.sizes_a * f.sizes_b)), found.digests(),
-                      np.bincount(doc, minlength=part.num_rows), at, links, pairs, np.bincount(at, minlength=len(pairs))]
-            long, whole, text = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string())
-            types = [long, long, long, long, long, text, whole, whole, whole, long, whole]
-            block = (TaskContext.get().partitionId() << 33) + nth
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), *[pa.array([v], t) for v, t in zip(values, types, strict=True)]],
-                names=[c.split()[0] for c in _BLOCKS.split(", ")])
+            # nothing of a block is held while the next is made
+            yield from of_block(pa.scalar((TaskContext.get().partitionId() << 33) + nth, pa.int64()), part)
 
     return _columns(docs).mapInArrow(run, _BLOCKS)
 
@@ -393,7 +444,7 @@ def aligned_blocks(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -
 def pair_counts(blocks: DataFrame, width: int) -> DataFrame:
     """(pair, count, best): the number of documents that hold each id pair, and
     whether no other pair of its A id is held by more."""
-    counts = blocks.select(F.explode(F.arrays_zip("pairs", "holders")).alias("p")) \
+    counts = blocks.where("first IS NOT NULL").select(F.explode(F.arrays_zip("pairs", "holders")).alias("p")) \
         .groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.holders").alias("count"))
     counts = materialize(counts.withColumn("a", F.expr(f"pair div {width}")), "pair-counts")
     # one row for each id of the A vocabulary at most
@@ -407,23 +458,24 @@ def align_documents(docs: DataFrame, tokenizers: tuple[str, str] | None = None)
     count is the highest of their A id, ``count_sum`` over all links."""
     paths = tokenizers or default_tokenizers()
     blocks = materialize(aligned_blocks(docs, paths), "aligned-blocks")
-    asked = blocks.select(F.col("block").alias("asks"), F.posexplode("pairs").alias("at", "pair"))
+    asked = blocks.where("first IS NOT NULL").select(F.col("block").alias("asks"), "first", F.posexplode("pairs").alias("nth", "pair")) \
+        .select("asks", (F.col("first") + F.col("nth")).alias("at"), "pair")
     told = asked.join(pair_counts(blocks, _width(paths)), "pair").select("asks", "at", "count", "best")
 
-    def weigh(told: pa.Table, blocks: pa.Table) -> pa.Table:
+    def weigh(told: pa.Table, texts: pa.Table) -> pa.Table:
         count, best = (np.zeros(told.num_rows, np.int64) for _ in range(2))
         at = told.column("at").to_numpy()
         count[at], best[at] = told.column("count").to_numpy(), told.column("best").to_numpy(zero_copy_only=False)
-        row = {c: blocks.column(c).combine_chunks()[0].values for c in blocks.column_names if c != "block"}
-        pair_at, links = (row[c].to_numpy() for c in ("pair_at", "links"))
-        docs = np.repeat(np.arange(len(row["doc_id"])), row["n_pairs"].to_numpy())
-        sums = []
-        for values in (best, count):
-            out = np.zeros(len(row["doc_id"]), np.int64)
-            np.add.at(out, docs, links * values[pair_at])
-            sums.append(pa.array(out))
-        return pa.table([row["doc_id"], row["n_a"], row["n_b"], row["n_groups"], row["n_links"], *sums, row["groups_sha256"]],
-                        names=[c.split()[0] for c in _COUNTED.split(", ")])
-
-    figures = blocks.drop("pairs", "holders")
+        found = {"n_best": [], "count_sum": []}
+        for batch in texts.to_batches():
+            pair_at, links = (batch.column(c).flatten().to_numpy() for c in ("pair_at", "links"))
+            of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("pair_at")).to_numpy())
+            for c, values in (("n_best", best), ("count_sum", count)):
+                out = np.zeros(batch.num_rows, np.int64)
+                np.add.at(out, of, links * values[pair_at])
+                found[c].append(pa.array(out))
+        names = [c.split()[0] for c in _COUNTED.split(", ")]
+        return pa.table([pa.chunked_array(found[c], pa.int64()) if c in found else texts.column(c) for c in names], names=names)
+
+    figures = blocks.where("first IS NULL").drop("first", "pairs", "holders")
     return told.groupBy("asks").cogroup(figures.groupBy("block")).applyInArrow(weigh, _COUNTED)

@@ -119,3 +119,48 @@ def test_links_by_chunks_and_large_groups(monkeypatch):
     for most in (1, 2, 7):
         monkeypatch.setattr(L, "CHUNK_LINKS", most)
         assert [x.tolist() for x in L.Aligned(texts, PATHS).pairs(32_000)] == whole
+
+
+def test_a_block_is_aligned_by_runs_of_words(monkeypatch):
+    """The encoders get a run of a block's words at a time, texts' pairs are written out by runs of texts; the results are the same."""
+    rng, longest = random.Random(7), []
+    texts = [*TEXTS, *(" ".join(rng.choice(["one", "two", "x́", "日本", "\ttab", "long" * 9, str(i)]) for _ in range(50)) for i in range(20))]
+
+    def figures():
+        block = L.Block(texts, PATHS)
+        groups = [[x.tolist() for x in block.groups(i)] for i in range(len(texts))]
+        return [x.tolist() for x in block.pairs(32_000)], block.digests(), block.sums(lambda f: f.per_text()).tolist(), groups
+
+    encode = L.SidePieces.encode
+    monkeypatch.setattr(L.SidePieces, "encode", lambda side, text: longest.append(len(text)) or encode(side, text))
+    want = figures()
+    for most in (1, 60, 300):
+        longest.clear()
+        monkeypatch.setattr(L, "ALIGN_CHARS", most)
+        monkeypatch.setattr(L, "CHUNK_PAIRS", most)
+        assert figures() == want
+        # and the spaces between them; one long word is by itself
+        assert sorted(set(longest))[-1] == 3000 and max(n for n in longest if n < 3000) <= max(2 * most, 100)
+
+
+def test_no_row_holds_a_whole_block(docs_of, monkeypatch):
+    """What a block lands are rows of a text each, and of some of its id pairs, as many in all."""
+    monkeypatch.setattr(L, "PAIRS_ROW", 5)
+    texts = [t for t in TEXTS if t and len(t) < 100]
+    rows = L.aligned_blocks(docs_of(enumerate(texts)).coalesce(1), PATHS).collect()
+    some = sorted((r for r in rows if r["first"] is not None), key=lambda r: r["first"])
+    assert len({r.block for r in rows}) == 1 and len(some) > 3 and {len(r.pairs) for r in some[:-1]} == {5}
+    assert [r["first"] for r in some] == list(range(0, 5 * len(some), 5))
+    doc, pair, links = L.Block(texts, PATHS).pairs(L._width(PATHS))
+    pairs, holders = np.unique(pair, return_counts=True)
+    assert [p for r in some for p in r.pairs] == pairs.tolist() and [n for r in some for n in r.holders] == holders.tolist()
+    for r in rows:
+        if r["first"] is None:
+            assert pairs[r.pair_at].tolist() == pair[doc == r.doc_id].tolist() and r.links == links[doc == r.doc_id].tolist()
+    assert sum(r["first"] is None for r in rows) == len(texts)
+
+
+def test_figures_of_pairs_in_many_rows(docs_of, monkeypatch):
+    monkeypatch.setattr(L, "PAIRS_ROW", 7)
+    texts = [t for t in TEXTS if not t or len(t) < 3000]
+    assert sorted(map(tuple, L.align_documents(docs_of(enumerate(texts)).repartition(2), PATHS).collect())) == list(brute(texts))
