@@ -13,12 +13,12 @@ from claimspark.operators import models as M
 from claimspark.operators import scoring
 from claimspark.operators.joins import assert_unique_key
 from claimspark.operators.scan import PID, ordered_scan
-from claimspark.plans import pipelines, training
+from claimspark.plans import pipelines, registry, training
 from claimspark.schemas import NUMERIC_FEATURES, PATIENTS_SCHEMA
 from claimspark.sources import adapter, files
 from claimspark.sources import results as R
 from claimspark.streaming.scoring import claim_stream, start_scoring
-from fixtures import claims_df, patients_df
+from fixtures import ROWS, claims_df, patients_df
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,6 +110,27 @@ def test_stored_results(spark, half, tmp_path):
     assert R.load_results(spark, str(tmp_path / "none"))["metrics"].count() == 0
 
 
+def test_model_results_are_those_of_both_models(spark, tmp_path, monkeypatch):
+    """Metrics, parameters and importances of both models are stored, and each model is summarised."""
+    rows = [(f"{r[0]}-{i}", f"{r[1]}-{i}", *r[2:]) for i in range(30) for r in ROWS]
+    p = training.prepare(pipelines.feature_table(claims_df(spark, rows), patients_df(spark, rows)))
+    monkeypatch.setattr(registry, "_STATE", {(spark.sparkContext.applicationId, "own"): p})
+    monkeypatch.setattr(registry, "shared_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(M, "RF_GRID", {"numTrees": [2], "maxDepth": [3], "maxBins": [16]})
+    got = {r.model: r for r in registry.QUERIES["model_results"](spark, "own").collect()}
+    assert set(got) == {"logistic_regression", "random_forest"}
+    assert got["logistic_regression"].best_params == {"maxIter": "100", "regParam": "0.01", "elasticNetParam": "0.1"}
+    assert got["random_forest"].best_params == {"numTrees": "2", "maxDepth": "3", "maxBins": "16"}
+    stored = R.load_results(spark, str(tmp_path / "model-results"))
+    assert {r.model: r["count"] for r in stored["importances"].groupBy("model").count().collect()} == dict.fromkeys(got, len(p.names))
+    for model, kind in (("logistic_regression", "linear"), ("random_forest", "tree")):
+        want = M.feature_importance(training.classifier(p.models[model]), p.names, kind).limit(5).collect()
+        assert [(f["key"], f["num"]) for f in got[model].top_features] == [(r.feature, r.importance) for r in want]
+        metrics = {r.metric: r.value for r in M.evaluate(training.classifier(p.models[model]), p.ptest, model).collect()}
+        assert got[model].model_metrics == metrics and len(metrics) == 6
+        assert got[model].records_processed == len(rows)
+
+
 def test_read_errors_are_not_empty_tables(spark, monkeypatch):
     class Broken:
         def schema(self, _):
